@@ -1 +1,215 @@
-"""Registered later."""
+"""Classifiers and the alerts they lead to.
+
+The models of the checks are small and train on every row; the library's default
+settings are the production ones. Labels follow from the rows in a way a forest
+can learn, so SQL knows the predictions too.
+"""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import fixtures as fx
+from checks import sql_parts as sp
+from checks.registry import query
+from checks.tables import records
+from flowvigil.operators.alerts import (
+    alerts_by_ports,
+    alerts_by_record,
+    attack_groups,
+    injection_alerts,
+)
+from flowvigil.operators.features import netflow_features
+from flowvigil.operators.http import http_flows
+from flowvigil.operators.route import is_http
+from flowvigil.operators.uri_flows import recent_queries, training_rows
+from flowvigil.plans.models import confusion, load_model, save_model
+from flowvigil.plans.netflow_model import NetflowModelSettings, train_netflow_model
+from flowvigil.plans.uri_model import TextModelSettings, train_text_model
+from flowvigil.session import work_folder
+
+NETFLOW_SETTINGS = NetflowModelSettings(trees=20, training_partitions=None)
+URI_SETTINGS = TextModelSettings(
+    vector_size=8,
+    embedding_iterations=1,
+    embedding_partitions=8,
+    trees=10,
+    regression_iterations=20,
+)
+TEXT_SETTINGS = TextModelSettings(
+    text_column="text",
+    vector_size=8,
+    embedding_iterations=1,
+    embedding_partitions=8,
+    min_count=5,
+    trees=10,
+    regression_iterations=20,
+)
+# A rule the features reveal: protocol to label.
+SQL_LABEL = "case proto when 'tcp' then 'DOS' when 'UDP' then 'FLOOD' else 'normal' end"
+
+
+def labelled_features(spark: SparkSession, sf_dir: str, port_lists: bool = False) -> DataFrame:
+    features = netflow_features(records(spark, sf_dir), port_lists=port_lists)
+    return features.withColumn("label", F.expr(SQL_LABEL))
+
+
+@cache
+def _netflow_model_path(spark: SparkSession, sf_dir: str) -> str:
+    path = work_folder(spark, "netflow-model")
+    save_model(train_netflow_model(labelled_features(spark, sf_dir), NETFLOW_SETTINGS), path)
+    return path
+
+
+def netflow_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return load_model(_netflow_model_path(spark, sf_dir))
+
+
+@cache
+def _uri_model_path(spark: SparkSession, sf_dir: str) -> str:
+    path = work_folder(spark, "uri-model")
+    labelled = fx.http_columns(fx.events(spark, sf_dir)).select("label", "uri")
+    save_model(train_text_model(training_rows(labelled), URI_SETTINGS), path)
+    return path
+
+
+def uri_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return load_model(_uri_model_path(spark, sf_dir))
+
+
+_GROUPS = sp.features("fx_netflow", SQL_LABEL)
+_SHAPED = """
+  cast(packernum as int) as packernum, cast(bytesize as int) as bytesize,
+  cast(flownum as int) as flownuma, cast(src_flow_port_num as int) as flownums,
+  cast(dst_flow_port_num as int) as flownumd"""
+
+
+@query(
+    "netflow_model",
+    f"select srcip, proto, dstip, recordtime, label as predictedlabel from ({_GROUPS})",
+)
+def _netflow_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = netflow_model(spark, sf_dir).transform(labelled_features(spark, sf_dir))
+    return scored.select(
+        "srcip", "proto", "dstip", "recordtime", F.col("predictedLabel").alias("predictedlabel")
+    )
+
+
+@query(
+    "netflow_score",
+    f"""
+select srcip, dstip, label as predictedlabel, recordtime, spandtime, srcports, dstports, proto,
+  packernum, bytesize, flownum, src_flow_port_num, dst_flow_port_num
+from ({_GROUPS}) where label <> 'normal'
+""",
+)
+def _netflow_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unlabelled = netflow_features(records(spark, sf_dir)).drop("label")
+    alerts = attack_groups(netflow_model(spark, sf_dir).transform(unlabelled))
+    return alerts.withColumnRenamed("predictedLabel", "predictedlabel")
+
+
+@query(
+    "model_confusion",
+    f"select label, label as predicted, count(*) as n from ({_GROUPS}) group by label",
+)
+def _model_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = netflow_model(spark, sf_dir).transform(labelled_features(spark, sf_dir))
+    counted = confusion(scored, "label", "predictedLabel")
+    return counted.select("label", F.col("predictedLabel").alias("predicted"), F.col("count").alias("n"))
+
+
+@query(
+    "uri_model",
+    "select label, label as predicted, count(*) as n from fx_http group by label",
+)
+def _uri_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = training_rows(fx.http_columns(fx.events(spark, sf_dir)).select("label", "uri"))
+    scored = uri_model(spark, sf_dir).transform(labelled)
+    counted = confusion(scored, "label", "predictedLabelRF")
+    return counted.select(
+        "label", F.col("predictedLabelRF").alias("predicted"), F.col("count").alias("n")
+    )
+
+
+DAYS = 7
+ALERT_ID = "concat('ignore', md5(concat_ws('|', uri, epoch_s, srcip, dstip)))"
+
+
+@query(
+    "uri_alerts",
+    f"""
+select {ALERT_ID} as id, make_timestamp(epoch_s * 1000000) as date, srcip, dstip, uri,
+  1.0e0 as predictionnb, uri as url
+from fx_http
+where marker <> 'other' and label = 'sql' and epoch_s > {fx.NOW} - {DAYS} * 86400
+  and epoch_s < {fx.NOW}
+""",
+)
+def _uri_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fx.http_lines(fx.events(spark, sf_dir)).where(is_http(F.col("value")))
+    recent = recent_queries(http_flows(lines), fx.NOW, DAYS)
+    alerts = injection_alerts(uri_model(spark, sf_dir).transform(recent))
+    return alerts.select(
+        "id",
+        F.col("date").cast("timestamp_ntz").alias("date"),
+        "srcip",
+        "dstip",
+        "uri",
+        "predictionnb",
+        "url",
+    )
+
+
+@query("text_quality_model")
+def _text_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = fx.labelled_texts(spark, sf_dir)
+    scored = train_text_model(texts, TEXT_SETTINGS).transform(texts)
+    return confusion(scored, "label", "predictedLabelRF").select(
+        "label", F.col("predictedLabelRF").alias("predicted"), F.col("count").alias("n")
+    )
+
+
+def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = labelled_features(spark, sf_dir, port_lists=True)
+    return features.withColumnRenamed("label", "predictedLabel")
+
+
+@query(
+    "netflow_alerts_by_ports",
+    f"""
+select 'ignore' as recordid, srcip, dstip, label as attacktype,
+  make_timestamp(recordtime * 1000000) as recordtime, spandtime as costtime,
+  cast(srcport as int) as srcport, cast(dstport as int) as dstport, proto, {_SHAPED}
+from (select *, unnest(string_split(dstports, ',')) as dstport
+  from (select *, unnest(string_split(srcports, ',')) as srcport
+    from ({_GROUPS}) where label <> 'normal'))
+""",
+)
+def _netflow_alerts_by_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_utc(alerts_by_ports(_ruled(spark, sf_dir)))
+
+
+@query(
+    "netflow_alerts_by_record",
+    f"""
+with attack as (select * exclude (srcports, dstports) from ({_GROUPS}) where label <> 'normal')
+select concat('ignore', md5(concat({sp.NETFLOW_LINE}, '|0'))) as recordid, attack.srcip,
+  attack.dstip, label as attacktype, make_timestamp(attack.recordtime * 1000000) as recordtime,
+  spandtime * 1000 as costtime, cast(srcport as int) as srcport, cast(dstport as int) as dstport,
+  attack.proto, {_SHAPED}
+from (select *, {sp.NETFLOW_LINE} as line from fx_netflow) as fx_netflow
+  join attack using (srcip, proto, dstip, recordtime)
+""".replace(f"md5(concat({sp.NETFLOW_LINE}, '|0'))", "md5(concat(line, '|0'))"),
+)
+def _netflow_alerts_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = labelled_features(spark, sf_dir).withColumnRenamed("label", "predictedLabel")
+    return _as_utc(alerts_by_record(scored, records(spark, sf_dir)))
+
+
+def _as_utc(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumn("recordtime", F.col("recordtime").cast("timestamp_ntz"))

@@ -1 +1,214 @@
-"""Registered later."""
+"""The same work on streams: files in, everything available, files out."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import fixtures as fx
+from checks import sql_parts as sp
+from checks.models import SQL_LABEL, netflow_model, uri_model
+from checks.registry import query
+from checks.texts import SYSLOG_ROWS
+from flowvigil.operators.features import netflow_features
+from flowvigil.operators.netflow import netflow_records
+from flowvigil.operators.netflow_messages import json_messages
+from flowvigil.operators.route import is_http
+from flowvigil.operators.http import http_flows
+from flowvigil.operators.uri_flows import flow_messages
+from flowvigil.session import work_folder
+from flowvigil.sources.patterns import VENDOR_PATTERNS
+from flowvigil.sources.sinks import DESTINATION, Target
+from flowvigil.streaming.network import start_network_etl
+from flowvigil.streaming.run import StreamOptions
+from flowvigil.streaming.scoring import start_netflow_scoring, start_uri_scoring
+from flowvigil.streaming.syslog import start_syslog_etl
+from flowvigil.streaming.windows import windowed_features
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = fx.events(spark, sf_dir).schema
+    return (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+
+
+def _options(spark: SparkSession) -> StreamOptions:
+    return StreamOptions(work_folder(spark, "stream-checkpoint"), interval=None)
+
+
+def _target(spark: SparkSession, purpose: str, *partition_by: str) -> Target:
+    return Target("parquet", work_folder(spark, purpose), partition_by=partition_by)
+
+
+def _written(spark: SparkSession, target: Target) -> DataFrame:
+    return spark.read.parquet(target.location).drop("batch_id")
+
+
+@query(
+    "stream_route",
+    f"""
+with {sp.RULE_MATCH},
+rows as (
+  select 'documents' as output, 'flow' as destination, md5(line) as id from matched
+  union all
+  select 'documents', 'flowlogrule', md5(line) from matched where ruleid is not null
+  union all select 'documents', 'netflow', md5(concat({sp.NETFLOW_LINE}, '|0')) from fx_netflow
+  union all select 'flow_messages', 'flow', null from matched
+  union all select 'flow_messages', 'flow', null from matched where ruleid is not null
+  union all select 'netflow_messages', 'netflow', null from fx_netflow
+  union all select 'letters', 'letters', null from events)
+select output, destination, count(*) as n, count(distinct id) as ids, max(id) as last_id
+from rows group by output, destination
+""",
+)
+def _stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = event_stream(spark, sf_dir)
+    lines = fx.http_lines(source)
+    for part in (fx.netflow_lines, fx.noise_lines, fx.broken_lines):
+        lines = lines.unionByName(part(source))
+    targets = {
+        "documents": _target(spark, "documents", *DESTINATION),
+        "flow_messages": _target(spark, "flow-messages"),
+        "netflow_messages": _target(spark, "netflow-messages"),
+        "letters": _target(spark, "letters"),
+    }
+    start_network_etl(lines, fx.rules(spark), targets, _options(spark)).awaitTermination()
+    no_id = F.lit(None).cast("string")
+    outputs = {
+        "documents": (F.col("es_index"), F.col("id")),
+        "flow_messages": (F.lit("flow"), no_id),
+        "netflow_messages": (F.lit("netflow"), no_id),
+        "letters": (F.lit("letters"), no_id),
+    }
+    rows = None
+    for name, (destination, row_id) in outputs.items():
+        part = _written(spark, targets[name]).select(
+            F.lit(name).alias("output"), destination.alias("destination"), row_id.alias("id")
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("output", "destination").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("id").alias("ids"),
+        F.max("id").alias("last_id"),
+    )
+
+
+@query("stream_syslog", SYSLOG_ROWS)
+def _stream_syslog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fx.syslog_lines(event_stream(spark, sf_dir))
+    rows = _target(spark, "syslog-rows")
+    start_syslog_etl(
+        lines, VENDOR_PATTERNS, {"rows": rows}, _options(spark), now=fx.NOW
+    ).awaitTermination()
+    return _written(spark, rows)
+
+
+_FEATURES = sp.features("fx_netflow", "'normal'")
+
+
+@query("stream_netflow_batch", f"select * exclude (srcports, dstports) from ({_FEATURES})")
+def _stream_netflow_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _target(spark, "batch-features")
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        target.write_batch(netflow_features(netflow_records(batch), port_lists=False), batch_id)
+
+    lines = fx.netflow_lines(event_stream(spark, sf_dir))
+    _options(spark).start(lines, each_batch).awaitTermination()
+    return _written(spark, target)
+
+
+@query(
+    "stream_netflow_alerts",
+    f"""
+with groups as ({sp.features("fx_netflow", SQL_LABEL)})
+select label as attacktype, proto, count(*) as alerts, cast(sum(srcport) as bigint) as srcports,
+  cast(sum(dstport) as bigint) as dstports, sum(spandtime * 1000) as costtime
+from fx_netflow join (select * exclude (srcports, dstports) from groups) as g
+  using (srcip, proto, dstip, recordtime)
+where label <> 'normal' group by label, proto
+""",
+)
+def _stream_netflow_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = json_messages(netflow_records(fx.netflow_lines(event_stream(spark, sf_dir))))
+    target = _target(spark, "netflow-alerts")
+    start_netflow_scoring(
+        messages, netflow_model(spark, sf_dir), target, _options(spark)
+    ).awaitTermination()
+    return (
+        _written(spark, target)
+        .groupBy("attacktype", "proto")
+        .agg(
+            F.count(F.lit(1)).alias("alerts"),
+            F.sum("srcport").alias("srcports"),
+            F.sum("dstport").alias("dstports"),
+            F.sum("costtime").alias("costtime"),
+        )
+    )
+
+
+@query(
+    "stream_uri_score",
+    f"""
+select concat('ignore', md5({sp.HTTP_LINE})) as id, make_timestamp(epoch_s * 1000000) as date,
+  srcip, dstip, uri, 1.0e0 as predictionnb, uri as url
+from fx_http where marker <> 'other' and label = 'sql'
+""",
+)
+def _stream_uri_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fx.http_lines(event_stream(spark, sf_dir)).where(is_http(F.col("value")))
+    target = _target(spark, "uri-alerts")
+    start_uri_scoring(
+        flow_messages(http_flows(lines)), uri_model(spark, sf_dir), target, _options(spark)
+    ).awaitTermination()
+    return _written(spark, target).select(
+        "id",
+        F.col("date").cast("timestamp_ntz").alias("date"),
+        "srcip",
+        "dstip",
+        "uri",
+        "predictionnb",
+        "url",
+    )
+
+
+WIDTH, DELAY = "1 day", "1 day"
+
+
+@query(
+    "stream_netflow_window",
+    """
+with windows as (
+  select *, starttime - starttime % 86400 as day from fx_netflow),
+closed as (select max(epoch_ms(ts)) - 86400000 as watermark from events)
+select make_timestamp(day * 1000000) as window_start,
+  make_timestamp((day + 86400) * 1000000) as window_end, srcip, dstip, proto,
+  cast(sum(lasttime - starttime) as double) as spandtime,
+  cast(sum(uppkts + downpkts) as double) as packernum,
+  cast(sum(ups + downs) as double) as bytesize,
+  cast(count(distinct srcport) as double) as src_flow_port_num,
+  cast(count(distinct dstport) as double) as dst_flow_port_num,
+  case when proto in ('tcp', 'TCP') then 1.0e0 else 0.0e0 end as tcp,
+  case when proto in ('udp', 'UDP') then 1.0e0 else 0.0e0 end as udp,
+  cast(count(*) as double) as flownum
+from windows, closed where (day + 86400) * 1000 <= watermark
+group by day, srcip, dstip, proto
+""",
+)
+def _stream_netflow_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = netflow_records(fx.netflow_lines(event_stream(spark, sf_dir)))
+    timed = records.withColumn("event_time", F.timestamp_seconds("starttime"))
+    windows = windowed_features(timed, "event_time", WIDTH, DELAY)
+    target = work_folder(spark, "windows")
+    (
+        windows.writeStream.outputMode("append")
+        .format("parquet")
+        .option("checkpointLocation", work_folder(spark, "stream-checkpoint"))
+        .trigger(availableNow=True)
+        .start(target)
+        .awaitTermination()
+    )
+    bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    written = spark.read.parquet(target)
+    return written.select(*bounds, *[c for c in written.columns if not c.startswith("window_")])

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowvigil.sources.tables import spread
+
 SPARK_EPOCH = "unix_seconds(cast(ts as timestamp))"
 DUCKDB_EPOCH = "cast(floor(epoch(ts)) as bigint)"
 
@@ -81,11 +83,6 @@ select concat('10.9.', cast(l_suppkey % 16 as string), '.', cast(l_partkey % 8 a
 from lineitem
 """
 
-SQL_TEXTS = """
-select case quality when 1 then 'good' else 'bad' end as label, text, documents.doc_id
-from documents join labels on documents.doc_id = labels.doc_id
-"""
-
 # (ruleid, sourceip, destip, pattern): a plain hit; an address that can only equal
 # itself; an address that is a wildcard for want of an escaped dot; low priority.
 RULES = (
@@ -104,7 +101,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+    """The columns of the events that lines are made of, on as many cores as there are."""
+    return spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
 
 
 def _derive(source: DataFrame, sql: str, name: str) -> DataFrame:
@@ -211,4 +209,5 @@ def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     label = F.when(F.col("quality") == 1, "good").otherwise("bad")
-    return documents.join(labels, "doc_id").select(label.alias("label"), "text", "doc_id")
+    joined = documents.join(labels, "doc_id")
+    return spread(joined.select(label.alias("label"), "text", "doc_id"))

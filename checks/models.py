@@ -26,7 +26,7 @@ from flowvigil.operators.alerts import (
 from flowvigil.operators.features import netflow_features
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.route import is_http
-from flowvigil.operators.uri_flows import recent_queries, training_rows
+from flowvigil.operators.uri_flows import query_text, recent_queries, training_rows
 from flowvigil.plans.models import confusion, load_model, save_model
 from flowvigil.plans.netflow_model import NetflowModelSettings, train_netflow_model
 from flowvigil.plans.uri_model import TextModelSettings, train_text_model
@@ -37,7 +37,7 @@ URI_SETTINGS = TextModelSettings(
     vector_size=8,
     embedding_iterations=1,
     embedding_partitions=8,
-    trees=10,
+    trees=20,
     regression_iterations=20,
 )
 TEXT_SETTINGS = TextModelSettings(
@@ -69,11 +69,17 @@ def netflow_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return load_model(_netflow_model_path(spark, sf_dir))
 
 
+def _uri_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every URI, by the queries that batch and stream scoring cut out of it."""
+    labelled = fx.http_columns(fx.events(spark, sf_dir))
+    cuts = F.explode(F.array(*[query_text(F.col("uri"), which) for which in ("first", "last")]))
+    return training_rows(labelled.select("label", cuts.alias("uri")))
+
+
 @cache
 def _uri_model_path(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "uri-model")
-    labelled = fx.http_columns(fx.events(spark, sf_dir)).select("label", "uri")
-    save_model(train_text_model(training_rows(labelled), URI_SETTINGS), path)
+    save_model(train_text_model(_uri_training(spark, sf_dir), URI_SETTINGS), path)
     return path
 
 
@@ -125,11 +131,10 @@ def _model_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "uri_model",
-    "select label, label as predicted, count(*) as n from fx_http group by label",
+    "select label, label as predicted, 2 * count(*) as n from fx_http group by label",
 )
 def _uri_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = training_rows(fx.http_columns(fx.events(spark, sf_dir)).select("label", "uri"))
-    scored = uri_model(spark, sf_dir).transform(labelled)
+    scored = uri_model(spark, sf_dir).transform(_uri_training(spark, sf_dir))
     counted = confusion(scored, "label", "predictedLabelRF")
     return counted.select(
         "label", F.col("predictedLabelRF").alias("predicted"), F.col("count").alias("n")

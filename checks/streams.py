@@ -27,7 +27,7 @@ from flowvigil.streaming.windows import windowed_features
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = fx.events(spark, sf_dir).schema
+    schema = fx.table(spark, sf_dir, "events").schema
     return (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )

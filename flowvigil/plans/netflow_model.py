@@ -24,14 +24,16 @@ from flowvigil.operators.features import FEATURE_COLUMNS
 class NetflowModelSettings:
     """``training_partitions`` spreads the training rows; None leaves it to Spark.
 
-    ``impute`` puts the mean for missing features, which otherwise fail.
+    ``impute`` puts the mean in place of a missing feature, such as the packets of
+    a conversation whose records all lack a count. Without it such a conversation
+    fails the job.
     """
 
     max_categories: int = 3
     tree_depth: int = 4
     trees: int = 500
     training_partitions: int | None = 300
-    impute: bool = False
+    impute: bool = True
     unseen_category: str = "keep"
     seed: int = 42
 

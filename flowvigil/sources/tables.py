@@ -29,6 +29,13 @@ def bounded(df: DataFrame, max_input_rows: int | None, keys: Sequence[str]) -> D
     return df if max_input_rows is None else take_rows(df, max_input_rows, keys)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of fewer splits than the session has cores, such as a single
+    small file. Anything larger stays as it is and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_attack_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Attack captures with a header. Without a schema the types are inferred,
     which reads the files twice."""

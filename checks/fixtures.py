@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowvigil.functions import once
 from flowvigil.sources.tables import spread
 
 SPARK_EPOCH = "unix_seconds(cast(ts as timestamp))"
@@ -123,6 +124,11 @@ def attack_columns(source: DataFrame) -> DataFrame:
     return _derive(source, SQL_ATTACK, "lineitem")
 
 
+def _as_lines(df: DataFrame, line: Column) -> DataFrame:
+    """Lines as a stored column would be: whatever reads them does not make them anew."""
+    return once(df, "value", line).select("value")
+
+
 def _record() -> Column:
     """A record with keys of mixed case; absent packet counts leave no key."""
     names = {
@@ -146,7 +152,7 @@ def _record() -> Column:
 def netflow_lines(source: DataFrame) -> DataFrame:
     """One line per event, with one record."""
     body = F.to_json(F.array(_record()))
-    return netflow_columns(source).select(_netflow_line(body))
+    return netflow_columns(source).transform(_as_lines, _netflow_line(body))
 
 
 def grouped_netflow_lines(source: DataFrame) -> DataFrame:
@@ -156,11 +162,11 @@ def grouped_netflow_lines(source: DataFrame) -> DataFrame:
         .groupBy(F.floor(F.col("event_id") / 3).alias("message"))
         .agg(F.sort_array(F.collect_list(F.struct("event_id", _record().alias("r")))).alias("rs"))
     )
-    return grouped.select(_netflow_line(F.to_json(F.col("rs.r"))))
+    return grouped.transform(_as_lines, _netflow_line(F.to_json(F.col("rs.r"))))
 
 
 def _netflow_line(body: Column) -> Column:
-    return F.concat(F.lit("sensor send a message: ["), body, F.lit("]")).alias("value")
+    return F.concat(F.lit("sensor send a message: ["), body, F.lit("]"))
 
 
 def http_lines(source: DataFrame) -> DataFrame:
@@ -174,14 +180,13 @@ def http_lines(source: DataFrame) -> DataFrame:
             F.col("event_id").alias("Seq"),
         )
     )
-    return http_columns(source).select(
-        F.concat(F.lit("<13> "), F.col("marker"), F.lit(" "), payload).alias("value")
-    )
+    line = F.concat(F.lit("<13> "), F.col("marker"), F.lit(" "), payload)
+    return _as_lines(http_columns(source), line)
 
 
 def syslog_lines(source: DataFrame) -> DataFrame:
     bodies = _derive(source, SQL_SYSLOG, "events")
-    return _derive(bodies, SQL_SYSLOG_LINE, "fx_syslog").select("value")
+    return _as_lines(_derive(bodies, SQL_SYSLOG_LINE, "fx_syslog"), F.col("value"))
 
 
 def noise_lines(source: DataFrame) -> DataFrame:

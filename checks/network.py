@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks import sql_parts as sp
 from checks.registry import query
-from flowvigil.operators.deadletter import dead_letters, network_error, syslog_error
+from flowvigil.operators.deadletter import dead_letters, network_errors, syslog_errors
 from flowvigil.operators.http import FLOW_COLUMNS, complete, drop_static, http_flows, parse_http
 from flowvigil.operators.netflow import (
     explode_records,
@@ -273,8 +273,8 @@ def _dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = network.unionByName(fx.broken_lines(source))
     short = source.select(F.concat("event_id", F.lit("|!short|!|!")).alias("value"))
     syslog = fx.syslog_lines(source).unionByName(short)
-    letters = dead_letters(network, network_error(F.col("value")), "network").unionByName(
-        dead_letters(syslog, syslog_error(F.col("value")), "syslog")
+    letters = dead_letters(network_errors(network), "network").unionByName(
+        dead_letters(syslog_errors(syslog), "syslog")
     )
     event_id = F.regexp_extract("log", r'^(?:netlog_http .*"Seq":)?(\d+)', 1)
     return letters.groupBy("stage", "error").agg(

@@ -1,5 +1,6 @@
 from flowvigil.functions.hashing import java_hash, record_id
 from flowvigil.functions.maps import json_object, lower_keys
+from flowvigil.functions.once import once
 from flowvigil.functions.times import epoch_now, parse_time
 from flowvigil.functions.uris import clean_uri, uri_decode, uri_normalize, uri_tokens, uri_words
 
@@ -9,6 +10,7 @@ __all__ = [
     "java_hash",
     "json_object",
     "lower_keys",
+    "once",
     "parse_time",
     "record_id",
     "uri_decode",

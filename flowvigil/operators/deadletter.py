@@ -4,50 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import json_object, parse_time
+from flowvigil.functions import json_object, once, parse_time
 from flowvigil.operators.http import JSON_SPAN
 from flowvigil.operators.netflow import RECORD_SPAN
 from flowvigil.operators.route import HTTP_MARKERS, is_http
 from flowvigil.operators.syslog import DELIMITER, REPORT_IP_FIELD
 
 
-def network_error(value: Column, markers: Sequence[str] = HTTP_MARKERS) -> Column:
-    """Why an HTTP or netflow line cannot be parsed; null if it can, or holds no payload."""
-    http_span = F.regexp_extract(value, JSON_SPAN, 1)
-    flow = json_object(http_span)
-    dates = F.map_values(F.map_filter(flow, lambda key, _: F.lower(key) == "date"))
-    bad_date = (F.size(dates) > 0) & parse_time(F.try_element_at(dates, F.lit(-1))).isNull()
-    netflow_span = F.regexp_extract(value, RECORD_SPAN, 1)
-    records = F.from_json(netflow_span, "array<map<string,string>>")
-    http_error = (
-        F.when(http_span == "", None)
-        .when(flow.isNull(), "http payload is no JSON object")
-        .when(bad_date, "http date has fewer than ten digits")
+def network_errors(
+    lines: DataFrame, value: str = "value", markers: Sequence[str] = HTTP_MARKERS
+) -> DataFrame:
+    """Add ``error``: why an HTTP or netflow line does not parse. It is null for
+    lines that do, and for lines without a payload."""
+    text = F.col(value)
+    routed = once(lines, "_http", is_http(text, markers))
+    flow = json_object(F.regexp_extract(text, JSON_SPAN, 1))
+    records = F.from_json(F.regexp_extract(text, RECORD_SPAN, 1), "array<map<string,string>>")
+    has_flow = F.col("_http") & text.rlike(JSON_SPAN)
+    has_records = ~F.col("_http") & text.rlike(RECORD_SPAN)
+    parsed = F.struct(
+        has_flow.alias("has_flow"),
+        has_records.alias("has_records"),
+        F.when(has_flow, flow).alias("flow"),
+        F.when(has_records, records.isNotNull()).alias("records_good"),
     )
-    netflow_error = F.when(
-        (netflow_span != "") & records.isNull(), "netflow payload is no JSON array of objects"
+    result = F.col("_parsed")
+    dates = F.map_values(F.map_filter(result["flow"], lambda key, _: F.lower(key) == "date"))
+    bad_date = (F.size(dates) > 0) & parse_time(F.try_element_at(dates, F.lit(-1))).isNull()
+    error = (
+        F.when(result["has_flow"] & result["flow"].isNull(), "http payload is no JSON object")
+        .when(result["has_flow"] & bad_date, "http date has fewer than ten digits")
+        .when(
+            result["has_records"] & ~result["records_good"],
+            "netflow payload is no JSON array of objects",
+        )
     )
-    return F.when(is_http(value, markers), http_error).otherwise(netflow_error)
+    return once(once(routed, "_parsed", parsed), "error", error).drop("_http", "_parsed")
 
 
-def syslog_error(value: Column) -> Column:
-    trimmed = F.regexp_replace(value, rf"(?:{DELIMITER})+\z", "")
+def syslog_errors(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``error`` for lines whose envelope is too short."""
+    trimmed = F.regexp_replace(F.col(value), rf"(?:{DELIMITER})+\z", "")
     fields = F.size(F.split(trimmed, DELIMITER))
-    return F.when(fields <= REPORT_IP_FIELD, "syslog line has fewer than thirty fields")
+    too_short = F.when(fields <= REPORT_IP_FIELD, "syslog line has fewer than thirty fields")
+    return once(lines, "error", too_short)
 
 
 def dead_letters(
-    lines: DataFrame, error: Column, stage: str, value: str = "value", now: str | None = None
+    checked: DataFrame, stage: str, value: str = "value", now: str | None = None
 ) -> DataFrame:
     """Envelopes ``{time, error, stage, log}`` of the lines with an error."""
     time = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if now is None else F.lit(now)
-    return (
-        lines.select(error.alias("error"), F.col(value).alias("log"))
-        .where(F.col("error").isNotNull())
-        .select(time.alias("time"), "error", F.lit(stage).alias("stage"), "log")
+    return checked.where(F.col("error").isNotNull()).select(
+        time.alias("time"), "error", F.lit(stage).alias("stage"), F.col(value).alias("log")
     )
 
 
@@ -57,7 +69,8 @@ def dead_letter_messages(letters: DataFrame) -> DataFrame:
     return letters.select(F.lit(None).cast("string").alias("key"), body.alias("value"))
 
 
-def fail_on_error(lines: DataFrame, error: Column) -> DataFrame:
+def fail_on_error(checked: DataFrame) -> DataFrame:
     """Strict mode: the first line with an error fails the job."""
-    checked = F.when(error.isNotNull(), F.raise_error(error).cast("boolean")).otherwise(True)
-    return lines.where(checked)
+    error = F.col("error")
+    good = F.when(error.isNotNull(), F.raise_error(error).cast("boolean")).otherwise(True)
+    return checked.where(good).drop("error")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import json_object, lower_keys, parse_time, record_id
+from flowvigil.functions import json_object, lower_keys, once, parse_time, record_id
 
 # The line format and the columns of a flow row.
 JSON_SPAN = r"(\{.*\})"
@@ -56,15 +56,10 @@ def parse_http(lines: DataFrame, value: str = "value") -> DataFrame:
     """Keep lines with a ``{...}`` span; ``flowcontent`` is its object as a map.
 
     A span that is no JSON object leaves ``flowcontent`` null: see
-    :func:`flowvigil.operators.deadletter.network_error`.
+    :func:`flowvigil.operators.deadletter.network_errors`.
     """
-    span = F.regexp_extract(F.col(value), JSON_SPAN, 1)
-    return (
-        lines.withColumn("_span", span)
-        .where(F.col("_span") != "")
-        .withColumn("flowcontent", json_object(F.col("_span")))
-        .drop("_span")
-    )
+    with_span = lines.where(F.col(value).rlike(JSON_SPAN))
+    return once(with_span, "flowcontent", json_object(F.regexp_extract(value, JSON_SPAN, 1)))
 
 
 def is_static(uri: Column) -> Column:
@@ -90,7 +85,7 @@ def complete(parsed: DataFrame, value: str = "value", id_mode: str = "hash") ->
         "es_type": F.lit("flow"),
         "es_index": F.lit("flow"),
     }
-    keyed = parsed.withColumn("_keyed", lower_keys(F.col("flowcontent")))
+    keyed = once(parsed, "_keyed", lower_keys(F.col("flowcontent")))
     given = F.col("_keyed")
 
     def filled(name: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import lower_keys, record_id
+from flowvigil.functions import lower_keys, once, record_id
 
 # The line format and the keys of a record.
 RECORD_SPAN = r"send a message:.\[(\[.*\])\]"
@@ -28,12 +28,9 @@ def netflow_messages(lines: DataFrame, value: str = "value") -> DataFrame:
 
     A span that is no JSON array leaves ``records`` null, for the dead letters.
     """
-    return (
-        lines.withColumn("_span", F.regexp_extract(F.col(value), RECORD_SPAN, 1))
-        .where(F.col("_span") != "")
-        .withColumn("records", F.from_json("_span", "array<map<string,string>>"))
-        .drop("_span")
-    )
+    with_span = lines.where(F.col(value).rlike(RECORD_SPAN))
+    span = F.regexp_extract(value, RECORD_SPAN, 1)
+    return once(with_span, "records", F.from_json(span, "array<map<string,string>>"))
 
 
 def explode_records(
@@ -45,7 +42,7 @@ def explode_records(
     """
     kept = [column for column in messages.columns if column != "records"]
     rows = messages.select(*kept, F.posexplode("records").alias("record_pos", "_raw"))
-    keyed = rows.select(*kept, "record_pos", lower_keys(F.col("_raw")).alias("record"))
+    keyed = once(rows, "record", lower_keys(F.col("_raw"))).drop("_raw")
     record = F.col("record")
     packets = record["downpkts"].try_cast("bigint") + record["uppkts"].try_cast("bigint")
     return (

@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowvigil.functions import uri_decode
+from flowvigil.functions import once, uri_decode
 from flowvigil.session import cut_lineage
 
 log = logging.getLogger(__name__)
@@ -121,7 +121,7 @@ def match_rules(
     a plan nor the driver ever holds more than one pass of it.
     """
     spark = flows.sparkSession
-    matched = flows.withColumn("_decoded", uri_decode(F.col("uri"))).withColumn(
+    matched = once(flows, "_decoded", uri_decode(F.col("uri"))).withColumn(
         "ruleid", F.lit(None).cast("string")
     )
     pending: list[Rule] = []
@@ -131,7 +131,7 @@ def match_rules(
         good = usable_rules(spark, batch, on_bad_rule)
         found = matched if passes == 0 else cut_lineage(matched)
         hit = F.coalesce(F.col("ruleid"), _first_hit(good, ip_match))
-        return found.withColumn("ruleid", hit), len(good) < len(batch)
+        return once(found, "ruleid", hit), len(good) < len(batch)
 
     for rule in rules_in_order(rules, order):
         pending.append(rule)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import epoch_now, java_hash, parse_time, record_id
+from flowvigil.functions import epoch_now, java_hash, once, parse_time, record_id
 
 # The envelope and the columns of a genlog row.
 DELIMITER = r"\|\!"
@@ -96,7 +96,7 @@ def envelope(lines: DataFrame, value: str = "value") -> DataFrame:
     last = F.element_at(fields, -1)
     before_last = F.get(fields, F.size(fields) - 2)
     return (
-        lines.withColumn("_fields", F.split(trimmed, DELIMITER))
+        once(lines, "_fields", F.split(trimmed, DELIMITER))
         .withColumn("reportip", F.get(fields, F.lit(REPORT_IP_FIELD)))
         .withColumn("orglog", F.when(F.length(last) < SHORT_TAIL, before_last).otherwise(last))
         .drop("_fields")
@@ -111,7 +111,7 @@ def classify(
     for pattern in patterns:
         cases = cases.when(pattern.found_in(F.col(value)), F.lit(pattern.id))
     first = cases if patterns else F.lit(None).cast("string")
-    return lines.withColumn("logruleid", first)
+    return once(lines, "logruleid", first)
 
 
 def _captured(patterns: Sequence[SyslogPattern], name: str, value: str) -> Column | None:
@@ -182,7 +182,7 @@ def syslog_rows(
     """One ``syslog`` row per line, and a ``genlog`` row for a line that matched.
 
     ``orgid`` of the genlog row is ``recordid`` of its syslog row. Lines whose
-    envelope is broken are left out; see :func:`flowvigil.operators.deadletter.syslog_error`.
+    envelope is broken are left out; see :func:`flowvigil.operators.deadletter.syslog_errors`.
     """
     text = F.col(value)
     parsed = genlog_fields(

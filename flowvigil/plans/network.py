@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.operators.deadletter import dead_letters, fail_on_error, network_error
+from flowvigil.operators.deadletter import dead_letters, fail_on_error, network_errors
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.netflow import netflow_records
 from flowvigil.operators.netflow_messages import json_messages
@@ -43,10 +43,10 @@ def network_tables(
     id_mode: str = "hash",
 ) -> NetworkTables:
     """Route, parse and match rules. ``strict`` fails on lines that do not parse."""
-    error = network_error(F.col(value))
-    letters = dead_letters(lines, error, "network", value)
-    checked = fail_on_error(lines, error) if strict else lines
-    http = checked.where(is_http(F.col(value)))
-    netflow = checked.where(~is_http(F.col(value)))
+    checked = network_errors(lines, value)
+    letters = dead_letters(checked, "network", value)
+    passed = fail_on_error(checked) if strict else lines
+    http = passed.where(is_http(F.col(value)))
+    netflow = passed.where(~is_http(F.col(value)))
     flows = rule_rows(match_rules(http_flows(http, value, id_mode), rules))
     return NetworkTables(flows.drop(value), netflow_records(netflow, value, id_mode), letters)

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowvigil.operators.deadletter import dead_letters, syslog_error
+from flowvigil.operators.deadletter import dead_letters, syslog_errors
 from flowvigil.operators.syslog import SyslogPattern, syslog_rows
 from flowvigil.sources.sinks import Target
 from flowvigil.streaming.run import StreamOptions, stored, write_outputs
@@ -27,7 +26,7 @@ def start_syslog_etl(
         with stored(batch) as (kept,):
             outputs = {
                 "rows": syslog_rows(kept, patterns, now=now),
-                "letters": dead_letters(kept, syslog_error(F.col("value")), "syslog"),
+                "letters": dead_letters(syslog_errors(kept), "syslog"),
             }
             write_outputs(outputs, targets, batch_id)
 

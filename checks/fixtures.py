@@ -124,7 +124,7 @@ def attack_columns(source: DataFrame) -> DataFrame:
     return _derive(source, SQL_ATTACK, "lineitem")
 
 
-def _as_lines(df: DataFrame, line: Column) -> DataFrame:
+def as_lines(df: DataFrame, line: Column) -> DataFrame:
     """Lines as a stored column would be: whatever reads them does not make them anew."""
     return once(df, "value", line).select("value")
 
@@ -152,7 +152,7 @@ def _record() -> Column:
 def netflow_lines(source: DataFrame) -> DataFrame:
     """One line per event, with one record."""
     body = F.to_json(F.array(_record()))
-    return netflow_columns(source).transform(_as_lines, _netflow_line(body))
+    return netflow_columns(source).transform(as_lines, _netflow_line(body))
 
 
 def grouped_netflow_lines(source: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def grouped_netflow_lines(source: DataFrame) -> DataFrame:
         .groupBy(F.floor(F.col("event_id") / 3).alias("message"))
         .agg(F.sort_array(F.collect_list(F.struct("event_id", _record().alias("r")))).alias("rs"))
     )
-    return grouped.transform(_as_lines, _netflow_line(F.to_json(F.col("rs.r"))))
+    return grouped.transform(as_lines, _netflow_line(F.to_json(F.col("rs.r"))))
 
 
 def _netflow_line(body: Column) -> Column:
@@ -181,12 +181,12 @@ def http_lines(source: DataFrame) -> DataFrame:
         )
     )
     line = F.concat(F.lit("<13> "), F.col("marker"), F.lit(" "), payload)
-    return _as_lines(http_columns(source), line)
+    return as_lines(http_columns(source), line)
 
 
 def syslog_lines(source: DataFrame) -> DataFrame:
     bodies = _derive(source, SQL_SYSLOG, "events")
-    return _as_lines(_derive(bodies, SQL_SYSLOG_LINE, "fx_syslog"), F.col("value"))
+    return as_lines(_derive(bodies, SQL_SYSLOG_LINE, "fx_syslog"), F.col("value"))
 
 
 def noise_lines(source: DataFrame) -> DataFrame:

@@ -202,7 +202,8 @@ from messages where contains(uri, '?')
 """,
 )
 def _flow_message_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_flow_messages(flow_messages(rule_rows(_matched(spark, sf_dir))))
+    messages = flow_messages(rule_rows(_matched(spark, sf_dir)))
+    return parse_flow_messages(fx.as_lines(messages, F.col("value")))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,12 +222,14 @@ from fx_netflow"""
 
 @query("netflow_message", f"{_RECORD} where uppkts is not null")
 def _netflow_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_text_messages(text_messages(_records(spark, sf_dir))).drop("netflow")
+    messages = fx.as_lines(text_messages(_records(spark, sf_dir)), F.col("value"))
+    return parse_text_messages(messages).drop("netflow")
 
 
 @query("netflow_message_json", _RECORD)
 def _netflow_message_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_json_messages(json_messages(_records(spark, sf_dir)))
+    messages = fx.as_lines(json_messages(_records(spark, sf_dir)), F.col("value"))
+    return parse_json_messages(messages)
 
 
 @query(

@@ -1,3 +1,4 @@
+from flowvigil.functions.groups import captured_groups
 from flowvigil.functions.hashing import java_hash, record_id
 from flowvigil.functions.maps import json_object, lower_keys
 from flowvigil.functions.once import once
@@ -5,6 +6,7 @@ from flowvigil.functions.times import epoch_now, parse_time
 from flowvigil.functions.uris import clean_uri, uri_decode, uri_normalize, uri_tokens, uri_words
 
 __all__ = [
+    "captured_groups",
     "clean_uri",
     "epoch_now",
     "java_hash",

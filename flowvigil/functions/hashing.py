@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MASK = 0xFFFFFFFF
+_SIGN = 0x80000000
 
 
 def java_hash(text: Column) -> Column:
@@ -22,7 +23,7 @@ def java_hash(text: Column) -> Column:
         return F.when(point < 0x10000, fold(total, point)).otherwise(fold(fold(total, high), low))
 
     unsigned = F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), step)
-    return F.when(unsigned > 0x7FFFFFFF, unsigned - (_MASK + 1)).otherwise(unsigned)
+    return unsigned.bitwiseXOR(F.lit(_SIGN)) - F.lit(_SIGN)
 
 
 def record_id(id_mode: str, *parts: Column) -> Column:

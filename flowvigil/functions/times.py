@@ -31,11 +31,14 @@ def parse_time(text: Column) -> Column:
     """
     apache = F.regexp_extract(text, _APACHE, 1)
     iso = F.regexp_replace(F.regexp_extract(text, _ISO, 1), r"[ \t]+", " ")
-    stamp = F.coalesce(
-        F.try_to_timestamp(apache, F.lit("d/MMM/yyyy:H:m:s")),
-        F.try_to_timestamp(apache, F.lit("d/MMMM/yyyy:H:m:s")),
-        F.try_to_timestamp(iso, F.lit("yyyy-M-d H:m:s")),
-    )
+    # Each layout is tried on texts of its shape alone: a failed parse costs an exception.
+    stamp = F.when(
+        text.rlike(_APACHE),
+        F.coalesce(
+            F.try_to_timestamp(apache, F.lit("d/MMM/yyyy:H:m:s")),
+            F.try_to_timestamp(apache, F.lit("d/MMMM/yyyy:H:m:s")),
+        ),
+    ).when(text.rlike(_ISO), F.try_to_timestamp(iso, F.lit("yyyy-M-d H:m:s")))
     return (
         F.when(text.isNull(), F.lit(None).cast("bigint"))
         .when(

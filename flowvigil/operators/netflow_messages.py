@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys of the text, all of which a line must have.
+from flowvigil.functions import captured_groups, once
+
+# The text between key and value, and keys all of which a line must have.
+ARROW = " -> "
 TEXT_KEYS = (
     "downpkts",
     "packernum",
@@ -75,7 +79,7 @@ def parse_json_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 def text_messages(records: DataFrame) -> DataFrame:
     """``Map(k -> v, …)`` text of records; absent values leave no entry."""
     entries = [
-        F.concat(F.lit(f"{name} -> "), F.col(name).cast("string"))
+        F.concat(F.lit(name + ARROW), F.col(name).cast("string"))
         for name in TEXT_KEYS
         if name in records.columns
     ]
@@ -83,22 +87,44 @@ def text_messages(records: DataFrame) -> DataFrame:
     return records.select(F.lit(None).cast("string").alias("key"), body.alias("value"))
 
 
+def _all_of(tests: Iterable[Column]) -> Column:
+    return reduce(lambda left, right: left & right, tests)
+
+
+def _entries(text: Column) -> Column:
+    """``(k -> v, k -> v)`` as a map; of entries with the same key the first stays."""
+    entries = F.split(F.regexp_extract(text, r"\((.*)\)", 1), ", ")
+    keys = F.transform(entries, lambda entry: F.substring_index(entry, ARROW, 1))
+    values = F.transform(
+        entries,
+        lambda entry: F.substring(entry, F.instr(entry, ARROW) + len(ARROW), F.length(entry)),
+    )
+    firsts = F.filter(
+        F.arrays_zip(keys.alias("key"), values.alias("value")),
+        lambda entry, position: F.array_position(keys, entry["key"]) == position + 1,
+    )
+    no_clash = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.when(no_clash, F.map_from_arrays(keys, values)).otherwise(F.map_from_entries(firsts))
+
+
 def parse_text_messages(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Records of ``k -> v`` texts, in whatever order the keys come.
+    """Records of ``k -> v`` texts, in whatever order the keys come; the usual one
+    takes a single search.
 
     A text that lacks a key is dropped. A number that does not parse is null.
     """
     text = F.col(value)
-
-    def entry(name: str) -> str:
-        return rf"(?:^|[( ]){name} -> (.*?)(?:, |\)|$)"
-
-    whole = reduce(
-        lambda left, right: left & right,
-        [text.contains(f"{name} -> ") & text.rlike(entry(name)) for name in TEXT_KEYS],
-    )
-    columns = []
-    for name in RECORD_COLUMNS:
-        taken = F.regexp_extract(text, entry(name), 1)
-        columns.append((taken.try_cast("double") if name in NUMBER_KEYS else taken).alias(name))
-    return messages.where(whole).select(*columns, text.alias("netflow"))
+    likely = messages.where(_all_of(text.contains(name + ARROW) for name in TEXT_KEYS))
+    in_order = ", ".join(f"{name}{ARROW}(.*?)" for name in TEXT_KEYS) + r"\)"
+    entries = _entries(text)
+    values = F.when(
+        text.rlike(in_order), captured_groups(text, in_order, range(1, len(TEXT_KEYS) + 1))
+    ).otherwise(F.transform(F.array(*map(F.lit, TEXT_KEYS)), lambda name: entries[name]))
+    parsed = once(likely, "_values", values)
+    fields = {name: F.col("_values")[position] for position, name in enumerate(TEXT_KEYS)}
+    columns = [
+        (fields[name].try_cast("double") if name in NUMBER_KEYS else fields[name]).alias(name)
+        for name in RECORD_COLUMNS
+    ]
+    complete = ~F.exists("_values", lambda field: field.isNull())
+    return parsed.where(complete).select(*columns, text.alias("netflow"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import epoch_now, java_hash, once, parse_time, record_id
+from flowvigil.functions import captured_groups, epoch_now, java_hash, once, parse_time, record_id
 
 # The envelope and the columns of a genlog row.
 DELIMITER = r"\|\!"
@@ -114,14 +114,24 @@ def classify(
     return once(lines, "logruleid", first)
 
 
-def _captured(patterns: Sequence[SyslogPattern], name: str, value: str) -> Column | None:
-    """Group of the winning pattern, or None if no pattern has the field."""
+def _captures(patterns: Sequence[SyslogPattern], value: str) -> Column:
+    """Fields of the winning pattern as an array, in the order the pattern names them."""
+    cases = F.when(F.lit(False), F.array().cast("array<string>"))
+    for pattern in patterns:
+        groups = [group for _, group in pattern.fields]
+        captured = captured_groups(F.col(value), pattern.search_pattern, groups)
+        cases = cases.when(F.col("logruleid") == pattern.id, captured)
+    return cases
+
+
+def _captured(patterns: Sequence[SyslogPattern], name: str) -> Column | None:
+    """One field out of the captures, or None if no pattern has it."""
     cases = None
     for pattern in patterns:
-        group = dict(pattern.fields).get(name)
-        if group is None:
+        names = [field for field, _ in pattern.fields]
+        if name not in names:
             continue
-        taken = F.regexp_extract(F.col(value), pattern.search_pattern, group)
+        taken = F.col("_captures")[names.index(name)]
         if name in pattern.optional:
             taken = F.nullif(taken, F.lit(""))
         chosen = F.col("logruleid") == pattern.id
@@ -145,7 +155,7 @@ def genlog_fields(
     for name in GENLOG_COLUMNS:
         if name in computed:
             continue
-        captured = _captured(patterns, name, value)
+        captured = _captured(patterns, name)
         has_field = F.col("logruleid").isin(
             *[pattern.id for pattern in patterns if name in dict(pattern.fields)]
         )
@@ -153,9 +163,9 @@ def genlog_fields(
         if captured is not None:
             filled = F.when(has_field, captured).otherwise(F.lit(ABSENT))
         columns.append(filled.alias(name))
-    time_text = _captured(patterns, "firstrecvtime", value)
-    event = _captured(patterns, "eventname", value)
-    with_text = classified.select(
+    time_text = _captured(patterns, "firstrecvtime")
+    event = _captured(patterns, "eventname")
+    with_text = once(classified, "_captures", _captures(patterns, value)).select(
         "*",
         *columns,
         (F.lit(None).cast("string") if time_text is None else time_text).alias("_time_text"),
@@ -168,7 +178,7 @@ def genlog_fields(
     return (
         with_text.withColumn("firstrecvtime", received * 1000)
         .withColumn("eventname3", F.coalesce(hashed, F.lit(ABSENT)))
-        .drop("_time_text", "_event")
+        .drop("_captures", "_time_text", "_event")
     )
 
 

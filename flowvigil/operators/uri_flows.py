@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import clean_uri
+from flowvigil.functions import captured_groups, clean_uri, once
 
 DAY_SECONDS = 86400
 
@@ -74,15 +74,14 @@ def parse_flow_messages(
     The query begins after the last ``?``; ``uri_ori`` ends at the first comma.
     """
     text = F.col(value)
-
-    def group(number: int) -> Column:
-        return F.regexp_extract(text, FLOW_MESSAGE, number)
-
-    return messages.where(text.contains("?") & text.rlike(FLOW_MESSAGE)).select(
-        group(1).alias("id"),
-        clean_uri(group(2), lexicon).alias("uri"),
+    matching = messages.where(text.contains("?") & text.rlike(FLOW_MESSAGE))
+    parsed = once(matching, "_groups", captured_groups(text, FLOW_MESSAGE, [1, 2, 3, 4, 5]))
+    groups = F.col("_groups")
+    return parsed.select(
+        groups[0].alias("id"),
+        clean_uri(groups[1], lexicon).alias("uri"),
         F.regexp_extract(text, MESSAGE_URI, 1).alias("uri_ori"),
-        group(5).try_cast("bigint").alias("date"),
-        group(4).alias("srcip"),
-        group(3).alias("dstip"),
+        groups[4].try_cast("bigint").alias("date"),
+        groups[3].alias("srcip"),
+        groups[2].alias("dstip"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowvigil.plans.network import network_tables
 from flowvigil.sources.sinks import Target
+from flowvigil.sources.tables import spread
 from flowvigil.streaming.run import StreamOptions, stored, write_outputs
 
 log = logging.getLogger(__name__)
@@ -28,7 +29,7 @@ def start_network_etl(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"network-{batch_id}")
-        counted = batch.observe(seen, F.count(F.lit(1)).alias("lines"))
+        counted = spread(batch).observe(seen, F.count(F.lit(1)).alias("lines"))
         with stored(counted) as (kept,):
             tables = network_tables(kept, rules, strict=strict)
             with stored(tables.flows, tables.records) as (flows, records):

@@ -13,6 +13,7 @@ from flowvigil.operators.features import netflow_features
 from flowvigil.operators.netflow_messages import parse_json_messages
 from flowvigil.operators.uri_flows import parse_flow_messages
 from flowvigil.sources.sinks import Target
+from flowvigil.sources.tables import spread
 from flowvigil.streaming.run import StreamOptions, stored
 
 
@@ -44,7 +45,7 @@ def start_netflow_scoring(
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        with stored(parse(batch)) as (records,):
+        with stored(parse(spread(batch))) as (records,):
             scored = model.transform(netflow_features(records, port_lists=False))
             target.write_batch(alerts_by_record(scored, records), batch_id)
 

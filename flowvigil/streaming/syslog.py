@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowvigil.operators.deadletter import dead_letters, syslog_errors
 from flowvigil.operators.syslog import SyslogPattern, syslog_rows
 from flowvigil.sources.sinks import Target
+from flowvigil.sources.tables import spread
 from flowvigil.streaming.run import StreamOptions, stored, write_outputs
 
 
@@ -23,7 +24,7 @@ def start_syslog_etl(
     """``targets`` by output: rows, letters."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        with stored(batch) as (kept,):
+        with stored(spread(batch)) as (kept,):
             outputs = {
                 "rows": syslog_rows(kept, patterns, now=now),
                 "letters": dead_letters(syslog_errors(kept), "syslog"),

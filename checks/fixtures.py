@@ -211,8 +211,7 @@ def rules(spark: SparkSession) -> DataFrame:
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     label = F.when(F.col("quality") == 1, "good").otherwise("bad")
-    joined = documents.join(labels, "doc_id")
-    return spread(joined.select(label.alias("label"), "text", "doc_id"))
+    return documents.join(labels, "doc_id").select(label.alias("label"), "text", "doc_id")

@@ -31,7 +31,8 @@ def bounded(df: DataFrame, max_input_rows: int | None, keys: Sequence[str]) -> D
 
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table of fewer splits than the session has cores, such as a single
-    small file. Anything larger stays as it is and is not shuffled."""
+    small file. Anything larger stays as it is and is not shuffled. For scans: the
+    splits of a join or an aggregate are only known once it has run."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 

@@ -1,0 +1,42 @@
+"""SQL for the base spans of personal data, in the plain expressions of the contract."""
+
+
+def _base_sql(kind: str, pattern: str) -> str:
+    """Spans of a base kind: matches, placed by the pieces of text between them."""
+    return f"""
+select doc_id, '{kind}' as kind, k, m,
+  (list_sum(list_transform(g[1:k], lambda x: length(x)))
+   + coalesce(list_sum(list_transform(a[1:k - 1], lambda x: length(x))), 0))::bigint as s
+from (select doc_id, a, g, unnest(a) as m, unnest(range(1, len(a) + 1)) as k from (
+  select doc_id, regexp_extract_all(text, '{pattern}') as a,
+    regexp_split_to_array(text, '{pattern}') as g from whole) where len(a) > 0)"""
+
+
+SQL_PII = (
+    "with whole as (select doc_id, coalesce(text, '') as text from documents), found as ("
+    + " union all ".join(
+        _base_sql(kind, pattern)
+        for kind, pattern in (
+            ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+            ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"),
+            ("card", r"[0-9](?:[ -]?[0-9])+"),
+            ("phone", r"\+[0-9][ ().0-9-]+[0-9]"),
+        )
+    )
+    + r"""), measured as (
+select *, regexp_replace(m, '[^0-9]', '', 'g') as d from found
+), good as (
+select * from measured where case kind when 'email' then true
+  when 'ip' then list_max(list_transform(string_split(m, '.'), lambda x: x::hugeint)) <= 255
+  when 'phone' then length(d) between 9 and 15
+  else length(d) between 13 and 19 and list_sum(list_transform(range(1, length(d) + 1),
+    lambda i: case when i % 2 = 1 then reverse(d)[i]::int
+      when reverse(d)[i]::int > 4 then reverse(d)[i]::int * 2 - 9 else reverse(d)[i]::int * 2 end)) % 10 = 0 end
+)
+select w.doc_id,
+  count(*) filter (kind = 'email') as n_email, count(*) filter (kind = 'ip') as n_ip,
+  count(*) filter (kind = 'card') as n_card, count(*) filter (kind = 'phone') as n_phone,
+  sha256(coalesce(string_agg(kind || ':' || s || ':' || (s + length(m)), ',' order by
+    case kind when 'email' then 1 when 'ip' then 2 when 'card' then 3 else 4 end, s), '')) as base_sha256
+from whole w left join good g on w.doc_id = g.doc_id group by w.doc_id"""
+)

@@ -1,4 +1,4 @@
 """All queries of this package; importing it registers them."""
 
-from flowvigil.llm import queries_native  # noqa: F401
+from flowvigil.llm import queries_bench, queries_mixing, queries_native, queries_text  # noqa: F401
 from flowvigil.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -10,11 +10,10 @@ and the curvature are sums over documents, taken by Spark over a histogram of
 (source, size), which is far smaller than the documents and exact. A step that
 leaves the bracket known so far is replaced by its middle.
 
-Rates become copies by systematic rounding: fractions are added up in order of
-size, and a document takes one more copy where the sum passes a half. Within a
-source the order runs through buckets of some thousand rows, up and down in
-turn, so that a source of any size is split over tasks and the sum of rounded
-sizes stays within about half the longest fractional document of its target.
+Rates become copies within buckets of some thousand rows of a source, from the
+longest document to the shortest: a document takes the higher of its two counts
+if the words owed so far make up half of it. A bucket ends within a short
+document of its share, and a source of any size is split over tasks.
 
 All sums that steer the result are exact (decimals and integers), so reruns
 agree whatever order the tasks end in.
@@ -27,6 +26,9 @@ words; repeated rows are documents of their own. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,6 @@ from flowvigil.llm.store import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 4096
-#: Fractions are counted in units of 2 to the power of minus UNIT_BITS.
-UNIT_BITS = 20
 #: Newton stops when every source is this near its target, as a share of it.
 TOLERANCE = 1e-7
 MAX_STEPS = 60
@@ -182,30 +182,31 @@ def mix_sources(
     rated = (
         sized.join(per_source, "key")
         .withColumn("rate", F.round(rate, 9))
-        .withColumn("_whole", F.floor("rate"))
-        .withColumn("_unit", F.floor((F.col("rate") - F.col("_whole")) * (1 << UNIT_BITS)).cast("bigint"))
-        .withColumn("_hash", F.xxhash64("doc_id", "size"))
-        .withColumn("_bucket", F.pmod(F.col("_hash"), F.ceil(F.col("documents") / BUCKET_ROWS)))
-    )
-    sums = rated.groupBy("key", "_bucket").agg(F.sum("_unit").alias("_sum"))
-    earlier = Window.partitionBy("key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        F.col("key").alias("_key"), F.col("_bucket").alias("_of"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-    )
-    up_and_down = F.when(F.col("_bucket") % 2 == 0, F.col("size")).otherwise(-F.col("size"))
-    inside = (
-        Window.partitionBy("key", "_bucket")
-        .orderBy(up_and_down, "_hash", "doc_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    summed = rated.withColumn("_sum", F.sum("_unit").over(inside)).join(
-        offsets, (F.col("key") == F.col("_key")) & (F.col("_bucket") == F.col("_of"))
-    )
-    end = F.col("_before") + F.col("_sum") + (1 << (UNIT_BITS - 1))
-    passed = F.shiftright(end, UNIT_BITS) - F.shiftright(end - F.col("_unit"), UNIT_BITS)
-    copies = (F.col("_whole") + passed).cast("bigint")
-    return summed.select(
-        "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"),
-        "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        .withColumn("hash", F.xxhash64("doc_id", "size"))
+        .withColumn("bucket", F.pmod(F.col("hash"), F.ceil(F.col("documents") / BUCKET_ROWS)))
+        .select(
+            "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"),
+            "target", "rate", "key", "hash", "bucket",
+        )
     )
+    out = rated.drop("key", "hash", "bucket").schema.add("copies", "long").add("taken", "long")
+    return rated.groupBy("key", "bucket").applyInPandas(round_rates, out)
+
+
+def round_rates(rows: pd.DataFrame) -> pd.DataFrame:
+    """Copies of a bucket's documents: the words still owed decide between two counts.
+
+    From the longest document to the shortest, so that what is owed in the end is
+    less than a short document.
+    """
+    rows = rows.sort_values(["size", "hash", "doc_id"], ascending=[False, True, True])
+    copies, owed = [], 0.0
+    for size, rate in zip(rows["size"].tolist(), rows["rate"].tolist(), strict=True):
+        low = math.floor(rate)
+        owed += (rate - low) * size
+        more = rate > low and owed >= size / 2
+        copies.append(low + more)
+        owed -= size * more
+    rows["copies"] = copies
+    rows["taken"] = rows["copies"] * rows["size"]
+    return rows.drop(columns=["key", "hash", "bucket"])

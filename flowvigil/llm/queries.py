@@ -1,4 +1,10 @@
 """All queries of this package; importing it registers them."""
 
-from flowvigil.llm import queries_bench, queries_mixing, queries_native, queries_text  # noqa: F401
+from flowvigil.llm import (  # noqa: F401
+    queries_bench,
+    queries_mixing,
+    queries_models,
+    queries_native,
+    queries_text,
+)
 from flowvigil.llm.registry import ORACLES, QUERIES  # noqa: F401

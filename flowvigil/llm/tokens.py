@@ -24,14 +24,14 @@ NOT_BLANK = np.ones(256, bool)
 NOT_BLANK[[9, 10, 11, 12, 13, 32]] = False
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows: first, past last, their UTF-8 bytes and the offsets in these. Null is empty."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     at = 0
     while at < len(texts):
-        to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
         to = min(max(to, at + 1), len(texts))
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to

@@ -8,14 +8,14 @@ of the score is added. What a sentence says about a group then counts, which
 group it is does not, and a neutral mention costs nothing.
 
 The fit uses a bounded sample (``per_label`` rows of each label) whose features
-are computed by Spark; the intercept is moved to the share of toxic rows among
-all labelled ones. Scoring reads every whole text once, in its own task, and
+are computed by Spark, and weighs both labels alike, so that 0.5 is where they
+part. Scoring reads every whole text once, in its own task, and
 looks up weights that are not zero.
 
 Defined cases: a null text is an empty text; an empty text scores by the
 intercept alone; documents with several labels give a row for each; labels that
 are null are not learned from; without labelled rows of both kinds the score is
-the share of toxic labels, or 0 without any. Other columns are untouched.
+the share of toxic labels, or near 0 without any. Other columns are untouched.
 """
 
 from __future__ import annotations
@@ -205,7 +205,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit(
     examples: list[tuple[int | None, np.ndarray, np.ndarray]],
-    l1: float = 2e-3,
+    l1: float = 1e-3,
     fairness: float = 2.0,
     steps: int = 300,
 ) -> ToxicityModel:
@@ -268,7 +268,6 @@ def train_toxicity(
 ) -> ToxicityModel:
     """Fit on a bounded sample of the rows of ``labels`` (``doc_id, toxic``)."""
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("label"))
-    totals = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
     sample = bounded_sample(known, "label", "doc_id", per_label)
     # At most two labels times per_label rows.
     rows = documents.select("doc_id", F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
@@ -277,17 +276,7 @@ def train_toxicity(
         for row in _examples(rows.select("label", "text")).toLocalIterator()
     ]
     taken.sort(key=lambda one: (one[0] is None, one[0] or 0, one[1].tobytes(), one[2].tobytes()))
-    model = fit(taken, **settings)
-    if len(model.features) and totals.get(1) and totals.get(0):
-        # The fit weighs both labels alike.
-        prior = np.log(totals[1] / totals[0])
-        return ToxicityModel(model.features, model.weights, model.intercept + PRIOR_SHARE * float(prior))
-    return model
-
-
-#: How much of the log odds of all labels goes to the intercept. Half of it
-#: keeps both kinds of error low; the whole would let mild texts pass.
-PRIOR_SHARE = 0.5
+    return fit(taken, **settings)
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:

@@ -68,12 +68,16 @@ def covered_lines(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def remove_repeated_windows(documents: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with ``text`` shortened; adds ``n_lines`` and ``n_removed``."""
-    covered = covered_lines(documents, text).withColumnRenamed("doc_id", "_covered_id")
-    joined = documents.join(covered, F.col("doc_id").eqNullSafe(F.col("_covered_id")), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    # A set of line numbers as a map would be searched line by line; lines are few
-    # enough to expand the windows and test membership in a sorted array.
+    """The documents with ``text`` shortened; adds ``n_lines`` and ``n_removed``.
+
+    Columns of the input with an added name give way.
+    """
+    added = ("n_lines", "n_removed")
+    covered = covered_lines(documents, text).select(F.col("doc_id").alias("of"), "covered")
+    whole = documents.select(F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"))
+    joined = whole.join(covered, F.col("row.doc_id").eqNullSafe(F.col("of")), "left")
+    old = F.col("row").getField(text)
+    lines = F.split(old, "\n", -1)
     gone = F.array_distinct(
         F.flatten(
             F.transform(
@@ -84,9 +88,12 @@ def remove_repeated_windows(documents: DataFrame, text: str = "text") -> DataFra
     )
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    out = joined.withColumn("_gone", F.size(gone))
-    out = out.withColumn(
-        "n_lines", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("bigint")
-    ).withColumn("n_removed", F.col("_gone").cast("bigint"))
-    out = out.withColumn(text, F.when(F.col("_gone") > 0, left).otherwise(F.col(text)))
-    return out.drop("_covered_id", "covered", "_gone")
+    same = [
+        F.when(F.size(gone) > 0, left).otherwise(old).alias(name) if name == text else F.col("row").getField(name).alias(name)
+        for name in documents.columns
+        if name not in added
+    ]
+    n_lines = F.when(old.isNull(), F.lit(0)).otherwise(F.size(lines))
+    return joined.select(
+        *same, n_lines.cast("bigint").alias("n_lines"), F.size(gone).cast("bigint").alias("n_removed")
+    )

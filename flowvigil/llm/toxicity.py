@@ -273,7 +273,7 @@ def train_toxicity(
     rows = documents.select("doc_id", F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
     taken = [
         (row["label"], np.array(row["plus"], np.int32), np.array(row["minus"], np.int32))
-        for row in _examples(rows.select("label", "text")).toLocalIterator()
+        for row in _examples(rows.select("label", "text")).collect()
     ]
     taken.sort(key=lambda one: (one[0] is None, one[0] or 0, one[1].tobytes(), one[2].tobytes()))
     return fit(taken, **settings)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowvigil.llm.multiset_hash import fingerprint_edits
 from flowvigil.llm.registry import query, table
 from flowvigil.llm.simhash import simhash_components
-from flowvigil.llm.substring_dedup import remove_repeats, with_row_key
+from flowvigil.llm.substring_dedup import remove_repeats
 
 
 @query("op1_fingerprints")
@@ -26,17 +26,4 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    whole = with_row_key(documents).select(
-        "doc_id", "id", "text_hash", F.octet_length("text").cast("bigint").alias("n_bytes"),
-        F.sha2("text", 256).alias("whole_sha256"),
-    )
-    cut = remove_repeats(documents).select(
-        "id", "text_hash", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")
-    ).distinct()
-    return whole.join(cut, ["id", "text_hash"], "left").select(
-        "doc_id", "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
-        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
-    )
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

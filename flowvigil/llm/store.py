@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from flowvigil.session import work_folder
 
 
+#: Spark's own setting: shuffle files of an execution go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder and read it again.
 
     Cuts the lineage and the cost of recomputing; a lost executor loses nothing.
+    The shuffle files that the write needed are not kept.
     """
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_folder(spark, purpose)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _stars(edges: DataFrame) -> DataFrame:

@@ -140,8 +140,8 @@ def test_swapped_terms_lose_their_weight():
         words = list(rng.choice(filler, 6))
         toxic = k % 2
         if toxic:
-            words += ["awful", "nasty"] if k % 4 == 1 else ["awful"]
-        if toxic and k % 5:
+            words += [("awful", "nasty", "vile")[k // 2 % 3]]
+        if toxic and k % 5 or k % 20 == 0:
             words += ["muslims"]
         pairs.append((" ".join(words), toxic))
     score = lambda model, text: model.weights[np.isin(model.features, tox._set_of(text))].sum() + model.intercept
@@ -150,4 +150,4 @@ def test_swapped_terms_lose_their_weight():
     neutral = "the muslims live here"
     lift = lambda model: score(model, neutral) - score(model, "the people live here")
     assert lift(held) < 0.5 * lift(without)
-    assert score(held, "awful nasty plain1") > 0 > score(held, neutral)
+    assert score(held, "awful nasty vile plain1") > 0 > score(held, neutral)

@@ -12,7 +12,7 @@ from flowvigil.llm.mixing import mix_sources
 from flowvigil.llm.multiset_hash import fingerprint, fingerprint_edits
 from flowvigil.llm.pii import find_pii, mask_pii
 from flowvigil.llm.simhash import simhash_components
-from flowvigil.llm.substring_dedup import remove_repeats, with_row_key
+from flowvigil.llm.substring_dedup import remove_repeats
 from flowvigil.llm.toxicity import toxicity_score, train_toxicity
 
 LONG = " ".join(f"word{k % 977}x{k}" for k in range(30_000))
@@ -113,13 +113,14 @@ def test_lines(odd):
 
 
 def test_substrings(odd, none):
-    rows = {row.id: row for row in remove_repeats(odd).collect()}
-    assert bytes(rows[2].kept) == TEXTS[1][1].encode() if 2 in rows and rows[2].n_removed == 0 else True
-    low = -(1 << 63)
-    assert low not in rows or rows[low].n_removed == 0
-    assert rows[1].n_removed >= len(PASSAGE)
-    assert remove_repeats(none).collect() == []
-    assert with_row_key(odd).count() == len(TEXTS)
+    rows = remove_repeats(odd).collect()
+    assert len(rows) == len(TEXTS) and remove_repeats(none).collect() == []
+    of = {row.doc_id: row for row in rows}
+    # The document without an id comes first and has the passage.
+    assert of[1].n_removed == len(PASSAGE) and bytes(of[1].kept).startswith(b"\nsecond")
+    assert bytes(of[2].kept) == b"ifth"
+    assert of[7].n_removed == of[8].n_removed == of[None].n_removed == 0
+    assert of[6].kept is None and of[4].n_bytes == 0
 
 
 def test_contamination(spark, odd, none, sf_dir):

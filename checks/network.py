@@ -172,7 +172,7 @@ def _netflow_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.grouped_netflow_lines(source).unionByName(fx.noise_lines(source))
     rows = explode_records(netflow_messages(lines))
     event_id = F.col("record")["seq"].cast("bigint")
-    return typed_records(rows.withColumn("event_id", event_id), ["event_id"]).drop("recordid")
+    return typed_records(rows.withColumn("event_id", event_id), ["event_id"]).drop("recordid", "extra")
 
 
 _MESSAGES = f"""

@@ -21,7 +21,11 @@ from flowvigil.sources.patterns import VENDOR_PATTERNS
 from flowvigil.sources.sinks import DESTINATION, Target
 from flowvigil.streaming.network import start_network_etl
 from flowvigil.streaming.run import StreamOptions
-from flowvigil.streaming.scoring import start_netflow_scoring, start_uri_scoring
+from flowvigil.streaming.scoring import (
+    start_netflow_scoring,
+    start_uri_scoring,
+    start_window_scoring,
+)
 from flowvigil.streaming.syslog import start_syslog_etl
 from flowvigil.streaming.windows import windowed_features
 
@@ -42,7 +46,7 @@ def _target(spark: SparkSession, purpose: str, *partition_by: str) -> Target:
 
 
 def _written(spark: SparkSession, target: Target) -> DataFrame:
-    return spark.read.parquet(target.location).drop("batch_id")
+    return spark.read.parquet(target.location).drop("stream_id", "batch_id")
 
 
 @query(
@@ -212,3 +216,27 @@ def _stream_netflow_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
     written = spark.read.parquet(target)
     return written.select(*bounds, *[c for c in written.columns if not c.startswith("window_")])
+
+
+@query(
+    "stream_window_alerts",
+    f"""
+with windows as (
+  select *, starttime - starttime % 86400 as day from fx_netflow),
+closed as (select max(epoch_ms(to_timestamp(starttime))) - 86400000 as watermark from fx_netflow)
+select make_timestamp(day * 1000000) as window_start, srcip, dstip, proto, {SQL_LABEL} as attacktype,
+  cast(sum(lasttime - starttime) as double) as spandtime, cast(count(*) as double) as flownum
+from windows, closed where (day + 86400) * 1000 <= watermark and {SQL_LABEL} <> 'normal'
+group by day, srcip, dstip, proto
+""",
+)
+def _stream_window_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = json_messages(netflow_records(fx.netflow_lines(event_stream(spark, sf_dir))))
+    target = _target(spark, "window-alerts")
+    start_window_scoring(
+        messages, netflow_model(spark, sf_dir), target, _options(spark), WIDTH, DELAY
+    ).awaitTermination()
+    return _written(spark, target).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        "srcip", "dstip", "proto", "attacktype", "spandtime", "flownum",
+    )

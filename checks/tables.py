@@ -22,9 +22,10 @@ from flowvigil.operators.sampling import (
     oversample,
     take_rows,
 )
+from flowvigil.plans.network import network_tables
 from flowvigil.session import work_folder
-from flowvigil.sources.sinks import Target
-from flowvigil.sources.tables import read_attack_csv
+from flowvigil.sources.sinks import Target, document_target
+from flowvigil.sources.tables import flows_of, read_attack_csv, records_of
 
 DAYS = 10
 SAMPLE_ROWS = 100
@@ -137,6 +138,25 @@ def _balance_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "balance_many_classes",
+    """
+with labelled as (
+  select case when l_partkey % 2000 = 0 then null else concat('c', l_partkey % 2000) end as label, l_orderkey, l_linenumber
+  from lineitem),
+sizes as (select label, count(*) as n from labelled group by label)
+select label, cast(n * ((select max(n) from sizes) // n) as bigint) as n from sizes
+""",
+)
+def _balance_many_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels by the thousand, one of them null."""
+    part = F.col("l_partkey") % 2000
+    rows = fx.table(spark, sf_dir, "lineitem").select(
+        F.when(part != 0, F.concat(F.lit("c"), part.cast("string"))).alias("label"), "l_orderkey", "l_linenumber"
+    )
+    return oversample(rows).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "netflow_train_set",
     f"""
@@ -196,3 +216,40 @@ def _features_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "features")
     Target("parquet", folder).write(netflow_features(records(spark, sf_dir)))
     return spark.read.parquet(folder)
+
+
+def _stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of flow and netflow lines, written and read again."""
+    source = fx.events(spark, sf_dir)
+    lines = fx.http_lines(source).unionByName(fx.netflow_lines(source))
+    folder = work_folder(spark, "stored")
+    document_target(folder).write(network_tables(lines, fx.rules(spark)).documents())
+    return spark.read.parquet(folder)
+
+
+@query("stored_features", _FEATURES)
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return netflow_features(records_of(_stored_documents(spark, sf_dir)))
+
+
+@query(
+    "stored_documents",
+    f"""
+with {sp.RULE_MATCH}
+select 'flow' as es_index, event_id, srcip, dstip, epoch_s as at, uri, 'GET' as detail from matched
+union all
+select 'netflow', event_id, srcip, dstip, starttime, null, 'http' from fx_netflow
+""",
+)
+def _stored_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _stored_documents(spark, sf_dir)
+    sequence = F.col("extra")["seq"].cast("bigint").alias("event_id")
+    flows = flows_of(stored).select(
+        F.lit("flow").alias("es_index"), sequence, "srcip", "dstip", F.col("date").alias("at"), "uri",
+        F.col("method").alias("detail"),
+    )
+    found = records_of(stored).select(
+        F.lit("netflow").alias("es_index"), sequence, "srcip", "dstip", F.col("starttime").alias("at"),
+        F.lit(None).cast("string").alias("uri"), F.col("proto7").alias("detail"),
+    )
+    return flows.unionByName(found)

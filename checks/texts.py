@@ -118,7 +118,7 @@ def _uri_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     "uri_recent",
     rf"""
 select {sp.cleaned(r"regexp_extract(uri, '\?(.*)')")} as uri, uri as uri_ori, epoch_s as date,
-  srcip, dstip
+  srcip, dstip, md5({sp.HTTP_LINE}) as id
 from fx_http
 where marker <> 'other' and not {sp.STATIC} and contains(uri, '?')
   and epoch_s > {fx.NOW} - {DAYS} * 86400 and epoch_s < {fx.NOW}

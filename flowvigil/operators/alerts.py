@@ -16,6 +16,8 @@ NORMAL = "normal"
 INJECTION = "sql"
 ID_PREFIX = "ignore"
 
+INT_MAX = (1 << 31) - 1
+
 #: Ports per side of one block of a port product.
 PORT_BLOCK = 256
 
@@ -72,7 +74,8 @@ def attack_groups(scored: DataFrame) -> DataFrame:
 
 def _alert_columns(recordid: Column, cost: Column, srcport: Column, dstport: Column) -> list[Column]:
     def whole(name: str) -> Column:
-        return F.col(name).cast("int")
+        # Sums of a busy conversation pass the column's type: they stop at its end.
+        return F.least(F.col(name), F.lit(float(INT_MAX))).cast("int")
 
     return [
         recordid.alias("recordid"),
@@ -93,7 +96,10 @@ def _alert_columns(recordid: Column, cost: Column, srcport: Column, dstport: Col
 
 
 def _blocks(ports: Column) -> Column:
-    """A comma-separated list as an array of arrays of ``PORT_BLOCK`` ports."""
+    """A comma-separated list as an array of arrays of ``PORT_BLOCK`` ports.
+
+    No ports at all are one block with an empty one, which becomes null.
+    """
     listed = F.split(ports, ",")
     starts = F.sequence(F.lit(1), F.size(listed), F.lit(PORT_BLOCK))
     return F.transform(starts, lambda start: F.slice(listed, start, PORT_BLOCK))
@@ -118,7 +124,7 @@ def alerts_by_ports(scored: DataFrame) -> DataFrame:
     )
 
     def port(name: str) -> Column:
-        return F.col(name).cast("double").cast("int")
+        return F.col(name).try_cast("double").try_cast("int")
 
     return pairs.select(
         *_alert_columns(F.lit(ID_PREFIX), F.col("spandtime"), port("_srcport"), port("_dstport"))
@@ -133,19 +139,21 @@ def alerts_by_record(
     """One alert per record of an attack conversation.
 
     The conversations are joined back to their records on the group keys instead
-    of carrying all their records in one cell. The attack side is unique by key,
-    so adaptive execution may split a conversation however large it is. A record
-    delivered twice gives one alert. ``costtime`` is in milliseconds here.
+    of carrying all their records in one cell. Both sides get a shuffle of their
+    own below the join, so adaptive execution splits a conversation however large
+    it is. Records are not merged: equal lines give as many alerts as there are
+    records, and ids tell them apart if the lines carry their origin. ``costtime``
+    is in milliseconds here.
     """
-    groups = attack_groups(scored)
+    # Dealt by a hash of the keys, not by the keys: the aggregate's own layout
+    # would spare the join a shuffle on this side, and with it the split.
+    groups = attack_groups(scored).drop("srcports", "dstports").repartition(F.xxhash64(*keys))
     wanted = records.select(*keys, "recordid", "srcport", "dstport")
-    joined = wanted.join(groups.drop("srcports", "dstports"), list(keys))
-    alerts = joined.select(
+    return wanted.join(groups, list(keys)).select(
         *_alert_columns(
             F.concat(F.lit(ID_PREFIX), F.col("recordid")),
             F.col("spandtime") * 1000,
-            F.col("srcport").cast("int"),
-            F.col("dstport").cast("int"),
+            F.col("srcport").try_cast("double").try_cast("int"),
+            F.col("dstport").try_cast("double").try_cast("int"),
         )
     )
-    return alerts.dropDuplicates(["recordid"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import json_object, lower_keys, once, parse_time, record_id
+from flowvigil.functions import json_object, lower_keys, once, origin_of, parse_time, record_id
 
 # The line format and the columns of a flow row.
 JSON_SPAN = r"(\{.*\})"
@@ -81,7 +81,7 @@ def complete(parsed: DataFrame, value: str = "value", id_mode: str = "hash") ->
     ``date`` is an epoch second, null when absent.
     """
     tags = {
-        "id": record_id(id_mode, F.col(value)),
+        "id": record_id(id_mode, *origin_of(parsed), F.col(value)),
         "es_type": F.lit("flow"),
         "es_index": F.lit("flow"),
     }

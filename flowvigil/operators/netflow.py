@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import lower_keys, once, record_id
+from flowvigil.functions import lower_keys, once, origin_of, record_id
 
 # The line format and the keys of a record.
 RECORD_SPAN = r"send a message:.\[(\[.*\])\]"
@@ -46,7 +46,7 @@ def explode_records(
     record = F.col("record")
     packets = record["downpkts"].try_cast("bigint") + record["uppkts"].try_cast("bigint")
     return (
-        keyed.withColumn("recordid", record_id(id_mode, F.col(value), F.col("record_pos")))
+        keyed.withColumn("recordid", record_id(id_mode, *origin_of(keyed), F.col(value), F.col("record_pos")))
         .withColumn("es_type", F.lit("netflow"))
         .withColumn("es_index", F.lit("netflow"))
         .withColumn("packernum", packets)
@@ -54,8 +54,18 @@ def explode_records(
 
 
 def typed_records(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Known keys of a record as typed columns; what is no number is null."""
+    """Known keys of a record as typed columns; what is no number is null.
+
+    ``extra`` holds every other key, and the text of numbers that are none, so
+    that a document of the row loses nothing.
+    """
     record = F.col("record")
+    known = (*TEXT_FIELDS, *NUMBER_FIELDS, "recordid", "es_type", "es_index", "packernum")
+    extra = F.map_filter(
+        record,
+        lambda key, text: ~key.isin(*known)
+        | (key.isin(*NUMBER_FIELDS) & text.isNotNull() & text.try_cast("bigint").isNull()),
+    )
     return rows.select(
         *keep,
         "recordid",
@@ -64,6 +74,7 @@ def typed_records(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *[record[name].alias(name) for name in TEXT_FIELDS],
         *[record[name].try_cast("bigint").alias(name) for name in NUMBER_FIELDS],
         "packernum",
+        extra.alias("extra"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowvigil.functions import captured_groups, once
 
-# The text between key and value, and keys all of which a line must have.
+# Names of keys, the text between key and value, and keys all of which a line must have.
 ARROW = " -> "
 TEXT_KEYS = (
     "downpkts",
@@ -40,22 +40,7 @@ NUMBER_KEYS = (
     "uppkts",
     "downs",
 )
-RECORD_COLUMNS = (
-    "downpkts",
-    "packernum",
-    "srcip",
-    "lasttime",
-    "proto",
-    "recordtime",
-    "recordid",
-    "starttime",
-    "srcport",
-    "dstip",
-    "ups",
-    "uppkts",
-    "dstport",
-    "downs",
-)
+RECORD_COLUMNS = tuple(name for name in TEXT_KEYS if name not in ("es_type", "proto7"))
 JSON_SCHEMA = ", ".join(
     f"{name} {'double' if name in NUMBER_KEYS else 'string'}" for name in TEXT_KEYS
 )
@@ -69,13 +54,28 @@ def json_messages(records: DataFrame) -> DataFrame:
     )
 
 
-def parse_json_messages(messages: DataFrame, value: str = "value") -> DataFrame:
-    record = F.from_json(F.col(value), JSON_SCHEMA)
-    return messages.select(record.alias("_record")).select(
-        *[F.col("_record")[name].alias(name) for name in RECORD_COLUMNS]
+def _json_record(value: str) -> Column:
+    """The record, with ``_bad`` set where the text is no object or a number is none."""
+    return F.from_json(
+        F.col(value), f"{JSON_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"}
     )
 
 
+def json_message_errors(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``error``, null for messages that ``parse_json_messages`` takes."""
+    record = F.col("_record")
+    bad = record.isNull() | record["_bad"].isNotNull()
+    error = F.when(bad, "netflow message is no JSON object with numbers where they belong")
+    return once(once(messages, "_record", _json_record(value)), "error", error).drop("_record")
+
+
+def parse_json_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Records of JSON messages; what does not parse is left to ``json_message_errors``."""
+    parsed = once(messages, "_record", _json_record(value))
+    good = parsed.where(F.col("_record").isNotNull() & F.col("_record")["_bad"].isNull())
+    return good.select(*[F.col("_record")[name].alias(name) for name in RECORD_COLUMNS])
+
+
 def text_messages(records: DataFrame) -> DataFrame:
     """``Map(k -> v, …)`` text of records; absent values leave no entry."""
     entries = [

@@ -5,20 +5,17 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowvigil.functions import once, uri_decode
-from flowvigil.session import cut_lineage
 
 log = logging.getLogger(__name__)
 
-#: Rules per CASE expression and per pass over the flows.
+#: Rules per CASE expression.
 RULES_PER_CASE = 100
-RULES_PER_PASS = 1000
 
 # Fixed value: only an address written with this counts as an address, see ``ip_match``.
 ESCAPED_DOT = "\\."
@@ -71,7 +68,18 @@ def usable_rules(spark: SparkSession, rules: Sequence[Rule], on_bad_rule: str) -
     return first + usable_rules(spark, rules[middle:], on_bad_rule)
 
 
-def _address_test(address: Column, wanted: str, ip_match: str) -> Column | None:
+def resolve_rules(
+    rules: DataFrame, on_bad_rule: str = "skip", order: str = "rule_pos"
+) -> list[Rule]:
+    """The usable rules by priority. A stream resolves them once, when it starts."""
+    return usable_rules(rules.sparkSession, list(rules_in_order(rules, order)), on_bad_rule)
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _address_test(address: str, wanted: str, ip_match: str) -> str | None:
     """Test of one address, or None where the rule takes any.
 
     ``escaped``: a rule address without a backslash-dot is a wildcard, however
@@ -84,65 +92,50 @@ def _address_test(address: Column, wanted: str, ip_match: str) -> Column | None:
         wildcard = wanted.strip().lower() in ("", "*", "any")
     else:
         raise ValueError(f"ip_match is 'escaped' or 'strict', not {ip_match!r}")
-    return None if wildcard else address == F.lit(wanted)
+    return None if wildcard else f"{address} = {_sql_text(wanted)}"
 
 
-def _hit(rule: Rule, ip_match: str) -> Column:
+def _hit(rule: Rule, ip_match: str) -> str:
     tests = [
-        _address_test(F.col("srcip"), rule.sourceip, ip_match),
-        _address_test(F.col("dstip"), rule.destip, ip_match),
-        F.col("_decoded").rlike(rule.pattern),
+        _address_test("srcip", rule.sourceip, ip_match),
+        _address_test("dstip", rule.destip, ip_match),
+        f"_decoded rlike {_sql_text(rule.pattern)}",
     ]
-    return reduce(lambda left, right: left & right, [test for test in tests if test is not None])
+    return " and ".join(test for test in tests if test is not None)
 
 
 def _first_hit(rules: Sequence[Rule], ip_match: str) -> Column:
+    """One SQL text for all rules: the parser reads thousands in a second."""
     cases = []
     for start in range(0, len(rules), RULES_PER_CASE):
-        case = F
-        for rule in rules[start : start + RULES_PER_CASE]:
-            case = case.when(_hit(rule, ip_match), F.lit(rule.ruleid))
-        cases.append(case)
-    return F.coalesce(*cases) if cases else F.lit(None).cast("string")
+        whens = [
+            f"when {_hit(rule, ip_match)} then {_sql_text(rule.ruleid)}"
+            for rule in rules[start : start + RULES_PER_CASE]
+        ]
+        cases.append(f"case {' '.join(whens)} end")
+    return F.expr(f"coalesce({', '.join(cases)})") if cases else F.lit(None).cast("string")
 
 
 def match_rules(
     flows: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | Sequence[Rule],
     ip_match: str = "escaped",
     on_bad_rule: str = "skip",
     order: str = "rule_pos",
+    uri: Column | None = None,
 ) -> DataFrame:
     """Add ``ruleid`` of the first rule the flow hits, else null.
 
-    The rules become constants of a CASE expression: flows are neither joined
-    nor shuffled, and each pattern compiles once per task. A table beyond
-    ``RULES_PER_PASS`` takes further passes over checkpointed flows, so neither
-    a plan nor the driver ever holds more than one pass of it.
+    The rules, a table or what ``resolve_rules`` made of it, become constants of
+    one expression: flows are neither joined nor shuffled nor stored, and each
+    pattern compiles once per task. ``uri`` is the address that is matched, by
+    default the column; pass ``flowcontent['Uri']`` to match flows only whose
+    key is written in exactly this way.
     """
-    spark = flows.sparkSession
-    matched = once(flows, "_decoded", uri_decode(F.col("uri"))).withColumn(
-        "ruleid", F.lit(None).cast("string")
-    )
-    pending: list[Rule] = []
-    passes = 0
-
-    def apply(batch: list[Rule]) -> tuple[DataFrame, bool]:
-        good = usable_rules(spark, batch, on_bad_rule)
-        found = matched if passes == 0 else cut_lineage(matched)
-        hit = F.coalesce(F.col("ruleid"), _first_hit(good, ip_match))
-        return once(found, "ruleid", hit), len(good) < len(batch)
-
-    for rule in rules_in_order(rules, order):
-        pending.append(rule)
-        if len(pending) == RULES_PER_PASS:
-            matched, lost = apply(pending)
-            pending, passes = [], passes + 1
-            if lost and on_bad_rule == "stop":
-                break
-    if pending:
-        matched, _ = apply(pending)
-    return matched.drop("_decoded")
+    resolved = resolve_rules(rules, on_bad_rule, order) if isinstance(rules, DataFrame) else rules
+    decoded = uri_decode(F.col("uri") if uri is None else uri)
+    matched = once(flows, "_decoded", decoded)
+    return once(matched, "ruleid", _first_hit(resolved, ip_match)).drop("_decoded")
 
 
 def rule_rows(matched: DataFrame) -> DataFrame:

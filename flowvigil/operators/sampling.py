@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Largest sample that map-side top-n keeps in each task.
-TOP_N_ROWS = 10_000
-#: Class counts the driver looks at; tables with more classes are joined instead.
-MAX_INLINE_CLASSES = 1000
+#: Copies of one row that a task makes at a time.
+COPY_BLOCK = 1024
+#: Rows on the edge of a sample that are ranked together, unless their keys are equal.
+EDGE_ROWS = 100_000
+#: Hexadecimal digits of the key hash that are counted at a time.
+DIGITS = 4
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -21,37 +23,42 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def take_rows(df: DataFrame, number: int, keys: Sequence[str]) -> DataFrame:
     """``number`` rows, the same ones on every run: first by hash of a unique key.
 
-    A plain ``limit`` brings all its rows into one partition. Here a small number
-    is a top-n over the tasks; for a large one the counts of hash buckets say
-    which buckets belong whole (65,536 counts at most), and only the bucket on the
-    edge is ranked.
+    A plain ``limit`` brings all its rows into one partition. Here the counts of
+    hash prefixes (65,536 at most) say which belong whole, and the prefix on the
+    edge is counted by its next digits until few rows are left to be ranked. The
+    input is read more than once and has to give the same rows each time.
     """
     order = [F.col("_hash"), *[F.col(key) for key in keys]]
     hashed = df.withColumn("_hash", _key_hash(keys))
-    if number <= TOP_N_ROWS:
-        return hashed.orderBy(*order).limit(number).drop("_hash")
-
-    bucketed = hashed.withColumn(
-        "_bucket", F.conv(F.substring("_hash", 1, 4), 16, 10).cast("int")
-    )
-    counts = bucketed.groupBy("_bucket").count().orderBy("_bucket").collect()
-    taken, edge = 0, None
-    for row in counts:
-        if taken + row["count"] > number:
-            edge = row["_bucket"]
+    left, edge, below = number, "", []
+    while True:
+        digits = len(edge) + DIGITS
+        counts = (
+            hashed.where(F.col("_hash").startswith(edge))
+            .groupBy(F.substring("_hash", 1, digits).alias("prefix"))
+            .count()
+            .orderBy("prefix")
+            .collect()
+        )
+        over = None
+        for row in counts:
+            if row["count"] > left:
+                over = row
+                break
+            left -= row["count"]
+        if over is None:
+            return df
+        below.append((digits, over["prefix"], edge))
+        edge = over["prefix"]
+        if over["count"] <= EDGE_ROWS or digits >= 32:
             break
-        taken += row["count"]
-    if edge is None:
-        return df
-    whole = bucketed.where(F.col("_bucket") < edge)
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    partly = (
-        bucketed.where(F.col("_bucket") == edge)
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= number - taken)
-        .drop("_rank")
-    )
-    return whole.unionByName(partly).drop("_hash", "_bucket")
+    whole = F.lit(False)
+    for digits, prefix, inside in below:
+        whole |= F.col("_hash").startswith(inside) & (F.substring("_hash", 1, digits) < prefix)
+    on_edge = F.col("_hash").startswith(edge)
+    rank = F.row_number().over(Window.orderBy(*order))
+    partly = hashed.where(on_edge).withColumn("_rank", rank).where(F.col("_rank") <= left).drop("_rank")
+    return hashed.where(whole).unionByName(partly).drop("_hash")
 
 
 def hash_split(df: DataFrame, percent: int, keys: Sequence[str]) -> DataFrame:
@@ -65,58 +72,40 @@ def random_split(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Dat
     return sample, rest
 
 
-def _class_sizes(rows: DataFrame) -> dict[str | None, int] | None:
-    """Rows per label, or None where there are too many labels for the driver."""
-    counts = rows.groupBy("label").count().limit(MAX_INLINE_CLASSES + 1).collect()
-    if len(counts) > MAX_INLINE_CLASSES:
-        return None
-    return {row["label"]: row["count"] for row in counts}
-
-
-def copies_per_class(
-    sizes: dict[str | None, int], portscan_by_flood: bool = False
-) -> dict[str | None, int]:
-    """How often the largest class holds each class.
+def class_copies(rows: DataFrame, portscan_by_flood: bool = False) -> DataFrame:
+    """``label, copies``: how often the largest class holds each class.
 
     ``portscan_by_flood`` divides by the FLOOD count for PORTSCAN too, which
     reproduces sample sets that were built that way.
     """
-    largest = max(sizes.values(), default=0)
-    divisors = dict(sizes)
-    if portscan_by_flood and "PORTSCAN" in sizes and "FLOOD" in sizes:
-        divisors["PORTSCAN"] = sizes["FLOOD"]
-    return {label: largest // divisor for label, divisor in divisors.items()}
-
-
-def _joined_copies(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("label").count()
-    largest = counts.agg(F.max("count")).first()[0]
-    copies = counts.select("label", F.floor(F.lit(largest) / F.col("count")).alias("_copies"))
-    return rows.join(copies.withColumn("_copies", F.col("_copies").cast("int")), "label")
+    is_flood = F.col("label") == "FLOOD"
+    sizes = counts.agg(F.max("count").alias("largest"), F.max(F.when(is_flood, F.col("count"))).alias("flood")).first()
+    divisor = F.col("count")
+    if portscan_by_flood and sizes["flood"] is not None:
+        divisor = F.when(F.col("label") == "PORTSCAN", F.lit(sizes["flood"])).otherwise(divisor)
+    copies = F.floor(F.lit(sizes["largest"]) / divisor).cast("bigint")
+    return counts.select("label", F.col("count").alias("n"), copies.alias("copies"))
 
 
 def oversample(
-    rows: DataFrame,
-    portscan_by_flood: bool = False,
-    sizes: dict[str | None, int] | None = None,
+    rows: DataFrame, portscan_by_flood: bool = False, copies: DataFrame | None = None
 ) -> DataFrame:
     """Repeat the rows of each class until it nears the size of the largest.
 
-    One pass counts the classes, and the copies are constants of the second:
-    no join. Only labels by the thousand are joined with their counts instead.
+    The rows join the copies of their label, null included, however many labels
+    there are. Copies are made in blocks that are dealt to the tasks before they
+    are expanded, so the rows of a rare class do not expand inside a single task.
     """
-    sizes = sizes or _class_sizes(rows)
-    if sizes is None:
-        copied = _joined_copies(rows)
-    elif not sizes:
-        return rows
-    else:
-        cases = F
-        for label, copies in copies_per_class(sizes, portscan_by_flood).items():
-            cases = cases.when(F.col("label").eqNullSafe(F.lit(label)), copies)
-        copied = rows.withColumn("_copies", cases)
-    repeated = F.explode(F.array_repeat(F.lit(1), F.col("_copies")))
-    return copied.withColumn("_copy", repeated).drop("_copy", "_copies")
+    copies = class_copies(rows, portscan_by_flood) if copies is None else copies
+    wanted = copies.select(F.col("label").alias("_label"), F.col("copies").alias("_copies"))
+    joined = rows.join(wanted.where("_copies > 0"), F.col("label").eqNullSafe(F.col("_label")))
+    last = F.floor((F.col("_copies") - 1) / COPY_BLOCK).cast("bigint")
+    blocks = joined.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    dealt = blocks.repartition(F.xxhash64(*[F.col(name) for name in rows.columns]), F.col("_block"))
+    here = F.least(F.col("_copies") - F.col("_block") * COPY_BLOCK, F.lit(COPY_BLOCK)).cast("int")
+    repeated = dealt.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), here)))
+    return repeated.select(*rows.columns)
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -134,13 +123,9 @@ def attack_training_set(
 
     Both inputs are read more than once: pass stored feature tables.
     """
-    sizes = _class_sizes(attacks)
-    balanced = oversample(attacks, portscan_by_flood, sizes)
-    if sizes is None:
-        attack_rows = balanced.count()
-    else:
-        copies = copies_per_class(sizes, portscan_by_flood)
-        attack_rows = sum(sizes[label] * copies[label] for label in sizes)
+    copies = class_copies(attacks, portscan_by_flood)
+    balanced = oversample(attacks, copies=copies)
+    attack_rows = copies.agg(F.sum(F.col("n") * F.col("copies"))).first()[0] or 0
     chosen = take_rows(normal, attack_rows * normal_per_attack, keys)
     return chosen.unionByName(balanced)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import captured_groups, epoch_now, java_hash, once, parse_time, record_id
+from flowvigil.functions import captured_groups, epoch_now, java_hash, once, origin_of, parse_time, record_id
 
 # The envelope and the columns of a genlog row.
 DELIMITER = r"\|\!"
@@ -201,8 +201,8 @@ def syslog_rows(
         value,
         now,
     )
-    ids = parsed.withColumn("_syslog_id", record_id(id_mode, text, F.lit("syslog"))).withColumn(
-        "_genlog_id", record_id(id_mode, text, F.lit("genlog"))
+    ids = parsed.withColumn("_syslog_id", record_id(id_mode, *origin_of(parsed), text, F.lit("syslog"))).withColumn(
+        "_genlog_id", record_id(id_mode, *origin_of(parsed), text, F.lit("genlog"))
     )
     seen = F.lit(None).cast("bigint") if now is None else F.lit(now * 1000).cast("bigint")
     arrived = F.coalesce(seen, F.unix_millis(F.current_timestamp()))

@@ -46,6 +46,7 @@ def recent_queries(
         "date",
         "srcip",
         "dstip",
+        *[name for name in ("id",) if name in flows.columns],
     )
 
 

@@ -10,14 +10,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
 
-from flowvigil.operators.alerts import alerts_by_ports, injection_alerts
+from flowvigil.operators.alerts import alerts_by_record, injection_alerts
 from flowvigil.operators.features import (
     GROUP_KEYS,
     attack_features,
     netflow_features,
-    recent_netflow_features,
+    recent_records,
 )
 from flowvigil.operators.sampling import attack_training_set, netflow_training_set
 from flowvigil.operators.uri_flows import recent_queries, training_rows
@@ -25,7 +24,7 @@ from flowvigil.plans.models import load_model, save_model
 from flowvigil.plans.netflow_model import NetflowModelSettings, train_netflow_model
 from flowvigil.plans.uri_model import TextModelSettings, train_text_model
 from flowvigil.sources.sinks import Target
-from flowvigil.sources.tables import Source, bounded, read_attack_csv
+from flowvigil.sources.tables import Source, bounded, flows_of, read_attack_csv, records_of
 
 
 def train_uri_model(
@@ -50,8 +49,8 @@ def score_recent_uris(
     days: int = 1,
     lexicon: Sequence[str] = (),
 ) -> None:
-    """Write alerts for the flows of the last day."""
-    recent = recent_queries(flows.read(spark), now, days, lexicon)
+    """Write alerts for the flows of the last day; ``flows`` may be stored documents."""
+    recent = recent_queries(flows_of(flows.read(spark)), now, days, lexicon)
     alerts.write(injection_alerts(load_model(model_path).transform(recent)))
 
 
@@ -61,17 +60,22 @@ def build_netflow_features(
     features: Target,
     max_input_rows: int | None = None,
 ) -> None:
-    """Append the features of all records, or of at most ``max_input_rows`` of them."""
-    rows = bounded(records.read(spark), max_input_rows, ["recordid"])
+    """Append the features of all records, or of at most ``max_input_rows`` of them;
+    ``records`` may be stored documents."""
+    rows = bounded(records_of(records.read(spark)), max_input_rows, ["recordid"])
     features.write(netflow_features(rows))
 
 
 def build_attack_features(
-    spark: SparkSession, captures: Sequence[tuple[str, str]], features: Target
+    spark: SparkSession,
+    captures: Sequence[tuple[str, str]],
+    features: Target,
+    schema: str | None = None,
 ) -> None:
-    """Append the features of (CSV path, label) captures."""
+    """Append the features of (CSV path, label) captures. Without ``schema`` the
+    types are inferred, which reads the files twice."""
     for path, label in captures:
-        features.write(attack_features(read_attack_csv(spark, path), label))
+        features.write(attack_features(read_attack_csv(spark, path, schema), label))
 
 
 def build_attack_training_set(
@@ -105,12 +109,13 @@ def score_recent_conversations(
     alerts: Target,
     now: int,
     days: int = 2,
-    shape: Callable[[DataFrame], DataFrame] = alerts_by_ports,
+    shape: Callable[[DataFrame, DataFrame], DataFrame] = alerts_by_record,
+    port_lists: bool = False,
 ) -> None:
-    """Write alerts for the conversations of the last two days."""
-    features = recent_netflow_features(records.read(spark), now, days)
-    stored = features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        alerts.write(shape(load_model(model_path).transform(stored)))
-    finally:
-        stored.unpersist()
+    """Write alerts for the conversations of the last two days; ``records`` may be
+    stored documents. ``shape`` makes alerts of scored conversations and recent
+    records. Alerts per pair of ports are the product of two lists; to have them,
+    pass ``lambda scored, _: alerts_by_ports(scored)`` and ``port_lists``."""
+    recent = recent_records(records_of(records.read(spark)), now, days)
+    features = netflow_features(recent, port_lists=port_lists)
+    alerts.write(shape(load_model(model_path).transform(features), recent))

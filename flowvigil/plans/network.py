@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from flowvigil.operators.http import http_flows
 from flowvigil.operators.netflow import netflow_records
 from flowvigil.operators.netflow_messages import json_messages
 from flowvigil.operators.route import is_http
-from flowvigil.operators.rules import match_rules, rule_rows
+from flowvigil.operators.rules import Rule, match_rules, rule_rows
 from flowvigil.operators.uri_flows import flow_messages
 from flowvigil.sources.sinks import documents
 
@@ -37,15 +38,19 @@ class NetworkTables:
 
 def network_tables(
     lines: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | Sequence[Rule],
     value: str = "value",
     strict: bool = False,
     id_mode: str = "hash",
 ) -> NetworkTables:
-    """Route, parse and match rules. ``strict`` fails on lines that do not parse."""
+    """Route, parse and match rules.
+
+    A line with an error is a dead letter and nothing else, a bad date included;
+    ``strict`` fails on it instead.
+    """
     checked = network_errors(lines, value)
     letters = dead_letters(checked, "network", value)
-    passed = fail_on_error(checked) if strict else lines
+    passed = fail_on_error(checked) if strict else checked.where(F.col("error").isNull()).drop("error")
     http = passed.where(is_http(F.col(value)))
     netflow = passed.where(~is_http(F.col(value)))
     flows = rule_rows(match_rules(http_flows(http, value, id_mode), rules))

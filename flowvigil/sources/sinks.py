@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DESTINATION = ("es_index", "es_type")
+#: Where Spark tells the id of the stream that a batch belongs to.
+STREAM_ID = "sql.streaming.queryId"
 
 
 @dataclass(frozen=True)
@@ -31,12 +33,19 @@ class Target:
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Write one micro-batch so that a retry replaces what it wrote before.
 
-        File targets get a folder per batch; any other format is appended to.
+        File targets get a folder per stream and batch; a stream with a new
+        checkpoint, or another stream, is another folder. Any other format is
+        appended to, with the stream and the batch as columns, so that a reader
+        or the database can tell the rows of a retry.
         """
+        stream = df.sparkSession.sparkContext.getLocalProperty(STREAM_ID) or "batch"
         if self.location is None:
-            self.write(df)
+            if self.format == "kafka":
+                self.write(df)
+                return
+            self.write(df.withColumns({"stream_id": F.lit(stream), "batch_id": F.lit(batch_id)}))
             return
-        folder = f"{self.location.rstrip('/')}/batch_id={batch_id}"
+        folder = f"{self.location.rstrip('/')}/stream_id={stream}/batch_id={batch_id}"
         Target(self.format, folder, "overwrite", self.options, self.partition_by).write(df)
 
 
@@ -63,10 +72,17 @@ def kafka_target(servers: str, topic: str) -> Target:
 
 
 def documents(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of any layout as (es_index, es_type, id, document)."""
-    return rows.select(
-        *DESTINATION, F.col(key).alias("id"), F.to_json(F.struct("*")).alias("document")
-    )
+    """Rows of any layout as (es_index, es_type, id, document).
+
+    Keys of the map ``extra`` stand beside the columns in the document.
+    """
+    known = [name for name in rows.columns if name != "extra"]
+    document = F.to_json(F.struct(*[F.col(f"`{name}`") for name in known]))
+    if "extra" in rows.columns:
+        extra = F.coalesce(F.to_json("extra"), F.lit("{}"))
+        both = F.concat(F.substring(document, F.lit(1), F.length(document) - 1), F.lit(","), F.substring(extra, 2, 1 << 30))
+        document = F.when(extra == "{}", document).when(document == "{}", extra).otherwise(both)
+    return rows.select(*DESTINATION, F.col(key).alias("id"), document.alias("document"))
 
 
 def document_target(location: str, fmt: str = "parquet") -> Target:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowvigil.functions import ORIGIN
+
 LINE_SCHEMA = "key string, value string"
 
 
@@ -22,7 +24,10 @@ def kafka_lines(
     max_offsets_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Lines of Kafka topics; the connector has to be on the class path."""
+    """Lines of Kafka topics; the connector has to be on the class path.
+
+    ``origin`` names the topic, partition and offset: ids made of it are unique.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -32,7 +37,11 @@ def kafka_lines(
     )
     if max_offsets_per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().selectExpr("cast(key as string) key", "cast(value as string) value")
+    return reader.load().selectExpr(
+        "cast(key as string) key",
+        "cast(value as string) value",
+        f"concat_ws('/', topic, partition, offset) as {ORIGIN}",
+    )
 
 
 def file_lines(

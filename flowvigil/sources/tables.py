@@ -9,6 +9,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowvigil.functions import once
+from flowvigil.operators.http import FLOW_COLUMNS, TAG_COLUMNS
+from flowvigil.operators.netflow import typed_records
 from flowvigil.operators.sampling import take_rows
 
 
@@ -29,12 +32,10 @@ def bounded(df: DataFrame, max_input_rows: int | None, keys: Sequence[str]) -> D
     return df if max_input_rows is None else take_rows(df, max_input_rows, keys)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of fewer splits than the session has cores, such as a single
-    small file. Anything larger stays as it is and is not shuffled. For scans: the
-    splits of a join or an aggregate are only known once it has run."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal a table to so many partitions where the caller knows that it has too
+    few, such as a single small file; None leaves it as it is."""
+    return df if partitions is None else df.repartition(partitions)
 
 
 def read_attack_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -74,8 +75,39 @@ def jdbc_source(
     return Source("jdbc", None, options)
 
 
+def records_of(table: DataFrame) -> DataFrame:
+    """Typed netflow records: of documents that the ETL stored, or the table itself.
+
+    Only the destination ``netflow`` is read, which is a partition of the store.
+    """
+    if "document" not in table.columns:
+        return table
+    rows = table.where(F.col("es_index") == "netflow")
+    parsed = once(rows, "record", F.from_json("document", "map<string,string>"))
+    packets = F.col("record")["packernum"].try_cast("bigint")
+    return typed_records(parsed.withColumn("recordid", F.col("id")).withColumn("packernum", packets))
+
+
+def flows_of(table: DataFrame) -> DataFrame:
+    """Flow rows: of documents that the ETL stored, or the table itself."""
+    if "document" not in table.columns:
+        return table
+    rows = table.where(F.col("es_index") == "flow")
+    parsed = once(rows, "_flow", F.from_json("document", "map<string,string>"))
+    flow = F.col("_flow")
+    given = [name for name in FLOW_COLUMNS if name != "date"]
+    known = (*FLOW_COLUMNS, *TAG_COLUMNS, "flowcontent")
+    return parsed.select(
+        *TAG_COLUMNS,
+        *[flow[name].alias(name) for name in given],
+        flow["date"].try_cast("bigint").alias("date"),
+        F.map_filter(flow, lambda key, _: ~key.isin(*known)).alias("extra"),
+    )
+
+
 def rules_table(rules: DataFrame, order: str | None = None) -> DataFrame:
-    """The rule columns with ``rule_pos``: by a column, or in reading order."""
+    """The rule columns with ``rule_pos``: by a column, or, for a single file that
+    one task reads, in reading order."""
     position = F.monotonically_increasing_id() if order is None else F.col(order)
     return rules.select(
         position.alias("rule_pos"), "ruleid", "sourceip", "destip", "rule_regular_expression"

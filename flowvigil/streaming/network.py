@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowvigil.operators.rules import resolve_rules
 from flowvigil.plans.network import network_tables
 from flowvigil.sources.sinks import Target
-from flowvigil.sources.tables import spread
 from flowvigil.streaming.run import StreamOptions, stored, write_outputs
 
 log = logging.getLogger(__name__)
@@ -25,13 +25,17 @@ def start_network_etl(
     options: StreamOptions,
     strict: bool = False,
 ) -> StreamingQuery:
-    """``targets`` by output: documents, flow_messages, netflow_messages, letters."""
+    """``targets`` by output: documents, flow_messages, netflow_messages, letters.
+
+    The rules are resolved once, before the first batch.
+    """
+    resolved = resolve_rules(rules)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"network-{batch_id}")
-        counted = spread(batch).observe(seen, F.count(F.lit(1)).alias("lines"))
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("lines"))
         with stored(counted) as (kept,):
-            tables = network_tables(kept, rules, strict=strict)
+            tables = network_tables(kept, resolved, strict=strict)
             with stored(tables.flows, tables.records) as (flows, records):
                 tables = replace(tables, flows=flows, records=records)
                 outputs = {

@@ -6,15 +6,17 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowvigil.operators.alerts import alerts_by_record, injection_alerts
+from flowvigil.operators.alerts import NORMAL, alerts_by_record, injection_alerts
+from flowvigil.operators.deadletter import dead_letters
 from flowvigil.operators.features import netflow_features
-from flowvigil.operators.netflow_messages import parse_json_messages
+from flowvigil.operators.netflow_messages import json_message_errors, parse_json_messages
 from flowvigil.operators.uri_flows import parse_flow_messages
 from flowvigil.sources.sinks import Target
-from flowvigil.sources.tables import spread
 from flowvigil.streaming.run import StreamOptions, stored
+from flowvigil.streaming.windows import windowed_features
 
 
 def start_uri_scoring(
@@ -36,17 +38,45 @@ def start_netflow_scoring(
     target: Target,
     options: StreamOptions,
     parse: Callable[[DataFrame], DataFrame] = parse_json_messages,
+    letters: Target | None = None,
 ) -> StreamingQuery:
     """Netflow messages to one alert per record of an attack conversation.
 
     Conversations are grouped within a micro-batch; see
-    :func:`flowvigil.streaming.windows.windowed_features` for groups across
-    batches.
+    :func:`start_window_scoring` for groups across batches. JSON messages that do
+    not parse go to ``letters``, if there is such a target.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        with stored(parse(spread(batch))) as (records,):
+        if letters is not None:
+            letters.write_batch(dead_letters(json_message_errors(batch), "netflow"), batch_id)
+        with stored(parse(batch)) as (records,):
             scored = model.transform(netflow_features(records, port_lists=False))
             target.write_batch(alerts_by_record(scored, records), batch_id)
 
     return options.start(messages, each_batch)
+
+
+def start_window_scoring(
+    messages: DataFrame,
+    model: PipelineModel,
+    target: Target,
+    options: StreamOptions,
+    width: str,
+    delay: str,
+    event_time: str = "starttime",
+    parse: Callable[[DataFrame], DataFrame] = parse_json_messages,
+) -> StreamingQuery:
+    """Netflow messages to one alert per attack conversation and window.
+
+    Conversations are grouped over batches, by event time; a window is scored
+    when the watermark has passed it. Scoring is part of the stream itself.
+    """
+    records = parse(messages).withColumn("event_time", F.timestamp_seconds(event_time))
+    scored = model.transform(windowed_features(records, "event_time", width, delay))
+    alerts = scored.where(F.col("predictedLabel") != NORMAL).select(
+        "window_start", "window_end", "srcip", "dstip", "proto",
+        F.col("predictedLabel").alias("attacktype"),
+        "spandtime", "packernum", "bytesize", "flownum", "src_flow_port_num", "dst_flow_port_num",
+    )
+    return options.start(alerts, target.write_batch)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowvigil.operators.features import FEATURE_COLUMNS, protocol_flags, record_sums
+
 
 def windowed_features(
     records: DataFrame, event_time: str, width: str, delay: str
@@ -14,35 +16,21 @@ def windowed_features(
     Streams have no distinct counts, so the state holds the set of ports, which
     the number of ports bounds.
     """
-    proto = F.col("proto")
-
-    def yes(*names: str):
-        return F.when(proto.isin(*names), F.lit(1.0)).otherwise(F.lit(0.0))
-
     return (
         records.withWatermark(event_time, delay)
         .groupBy(F.window(event_time, width), "srcip", "dstip", "proto")
         .agg(
-            F.sum(F.col("lasttime") - F.col("starttime")).cast("double").alias("spandtime"),
-            F.sum(F.col("uppkts") + F.col("downpkts")).cast("double").alias("packernum"),
-            F.sum(F.col("ups") + F.col("downs")).cast("double").alias("bytesize"),
+            *record_sums(),
             F.size(F.collect_set("srcport")).cast("double").alias("src_flow_port_num"),
             F.size(F.collect_set("dstport")).cast("double").alias("dst_flow_port_num"),
-            F.count(F.lit(1)).cast("double").alias("flownum"),
         )
+        .withColumns(protocol_flags())
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
             "srcip",
             "dstip",
             "proto",
-            "spandtime",
-            "packernum",
-            "bytesize",
-            "src_flow_port_num",
-            "dst_flow_port_num",
-            yes("tcp", "TCP").alias("tcp"),
-            yes("udp", "UDP").alias("udp"),
-            "flownum",
+            *FEATURE_COLUMNS,
         )
     )

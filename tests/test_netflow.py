@@ -1,4 +1,6 @@
+import hashlib
 import itertools
+import json
 import random
 
 import pytest
@@ -16,6 +18,7 @@ from flowvigil.operators.features import (
 from flowvigil.operators.netflow import explode_records, netflow_messages, netflow_records
 from flowvigil.operators.netflow_messages import (
     TEXT_KEYS,
+    json_message_errors,
     json_messages,
     parse_json_messages,
     parse_text_messages,
@@ -175,13 +178,87 @@ def test_attack_features(spark):
 @pytest.mark.parametrize("number", [0, 1, 137, 999, 1000, 5000])
 def test_take_rows(spark, monkeypatch, number):
     df = spark.range(1000).withColumn("v", F.col("id") * 2)
-    small = {row["id"] for row in sampling.take_rows(df, number, ["id"]).collect()}
-    monkeypatch.setattr(sampling, "TOP_N_ROWS", -1)
-    large = sampling.take_rows(df, number, ["id"])
-    assert large.columns == df.columns
-    rows = [row["id"] for row in large.collect()]
-    assert len(rows) == len(set(rows)) == min(number, 1000)
-    assert set(rows) == small
+    coarse = [row["id"] for row in sampling.take_rows(df, number, ["id"]).collect()]
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    monkeypatch.setattr(sampling, "EDGE_ROWS", 3)
+    fine = sampling.take_rows(df, number, ["id"])
+    assert fine.columns == df.columns
+    wanted = sorted(range(1000), key=lambda n: hashlib.md5(str(n).encode()).hexdigest())[:number]
+    assert sorted(coarse) == sorted(row["id"] for row in fine.collect()) == sorted(wanted)
+
+
+def test_ports_that_are_none(spark):
+    schema = "srcip string, dstip string, predictedLabel string, recordtime bigint, spandtime double, srcports string, dstports string, proto string, packernum double, bytesize double, flownum double, src_flow_port_num double, dst_flow_port_num double"
+    scored = spark.createDataFrame([("a", "b", "DOS", 1, 2.0, "", "7,x", "icmp", 1.0, 1.0, 1.0, 0.0, 2.0)], schema)
+    assert {(row["srcport"], row["dstport"]) for row in alerts_by_ports(scored).collect()} == {(None, None), (None, 7)}
+    records = spark.createDataFrame([("a", "icmp", "b", 1, "r", "", "x")], "srcip string, proto string, dstip string, recordtime bigint, recordid string, srcport string, dstport string")
+    row = alerts_by_record(scored, records).first()
+    assert (row["srcport"], row["dstport"]) == (None, None)
+
+
+def test_equal_lines_give_an_alert_each(spark):
+    line = f"send a message: [[{RECORD}]]"
+    frame = spark.createDataFrame([(line, f"t/0/{n}") for n in range(3)], "value string, origin string")
+    records = netflow_records(frame)
+    scored = netflow_features(records, port_lists=False).withColumn("predictedLabel", F.lit("DOS"))
+    rows = alerts_by_record(scored, records).collect()
+    assert len(rows) == len({row["recordid"] for row in rows}) == rows[0]["flownuma"] == 3
+
+
+def test_documents_keep_every_key(spark, lines):
+    from flowvigil.sources.sinks import documents
+    from flowvigil.sources.tables import records_of
+
+    odd = '{"srcip":"1.1.1.1","recordtime":1.7e9,"starttime":"1700000000.5","lasttime":4,"Vlan":7,"uppkts":1,"downpkts":2}'
+    stored = documents(netflow_records(lines(f"send a message: [[{odd}]]")), "recordid")
+    document = json.loads(stored.first()["document"])
+    assert (document["vlan"], document["starttime"], document["lasttime"]) == ("7", "1700000000.5", 4)
+    assert float(document["recordtime"]) == 1.7e9
+    row = records_of(stored).first()
+    assert (row["srcip"], row["lasttime"], row["packernum"], row["extra"]["vlan"]) == ("1.1.1.1", 4, 3, "7")
+
+
+def test_messages_that_are_no_record_are_letters(lines):
+    texts = lines("no json", "[1]", '{"srcip":"a","ups":"many"}', '{"srcip":"a","ups":1}')
+    assert [row["srcip"] for row in parse_json_messages(texts).collect()] == ["a"]
+    assert [row["error"] is None for row in json_message_errors(texts).collect()] == [False, False, False, True]
+
+
+def test_a_hot_conversation_is_split(spark):
+    """The final plan of the join reads the hot conversation in parts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings if spark.conf.get(key, None) is not None}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        hot = n % 5 != 0
+        records = spark.range(200_000).select(
+            F.when(hot, "hot").otherwise(F.concat(F.lit("s"), (n % 50).cast("string"))).alias("srcip"),
+            F.when(hot, "tcp").otherwise(F.concat(F.lit("p"), (n % 3).cast("string"))).alias("proto"),
+            F.concat(F.lit("d"), F.when(hot, 0).otherwise(n % 7).cast("string")).alias("dstip"),
+            F.when(hot, 0).otherwise(n % 4).alias("recordtime"),
+            n.cast("string").alias("recordid"), (n % 100).alias("srcport"), (n % 90).alias("dstport"),
+            n.alias("starttime"), n.alias("lasttime"), n.alias("uppkts"), n.alias("downpkts"), n.alias("ups"), n.alias("downs"),
+        )
+        scored = netflow_features(records, port_lists=False).withColumn("predictedLabel", F.lit("DOS"))
+        alerts = alerts_by_record(scored, records)
+        assert len(alerts.select("recordid").collect()) == 200_000
+        alerts.collect()
+        assert "skew=true" in alerts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            if key in before:
+                spark.conf.set(key, before[key])
+            else:
+                spark.conf.unset(key)
 
 
 def test_oversample(spark, monkeypatch):
@@ -197,8 +274,14 @@ def test_oversample(spark, monkeypatch):
     assert sizes(sampling.oversample(rows)) == balanced
     assert sizes(sampling.oversample(rows, portscan_by_flood=True)) == balanced | {"PORTSCAN": 2}
     assert sampling.oversample(rows.limit(0)).count() == 0
-    monkeypatch.setattr(sampling, "MAX_INLINE_CLASSES", 2)
+    unlabelled = rows.limit(0).unionByName(
+        spark.createDataFrame([("FLOOD", n) for n in range(6)] + [("PORTSCAN", 1), ("PORTSCAN", 2)] + [(None, n) for n in range(3)], rows.schema)
+    )
+    assert sizes(sampling.oversample(unlabelled, portscan_by_flood=True)) == {"FLOOD": 6, "PORTSCAN": 2, None: 6}
+    monkeypatch.setattr(sampling, "COPY_BLOCK", 2)
     assert sizes(sampling.oversample(rows)) == balanced
+    rare = rows.where("label = 'FLOOD'").crossJoin(spark.range(900)).drop("id").unionByName(rows.where("label = 'DOS' and n = 0"))
+    assert sizes(sampling.oversample(rare)) == {"FLOOD": 6300, "DOS": 6300}
 
 
 def test_training_sets(spark):
@@ -248,5 +331,5 @@ def test_alerts_by_record(spark):
     alerts = alerts_by_record(features.withColumn("predictedLabel", labels), records)
     wanted = {f"ignore{row['recordid']}" for row in records.where("srcip = 'hot'").collect()}
     rows = alerts.collect()
-    assert len(rows) == len(wanted) and {row["recordid"] for row in rows} == wanted
-    assert {row["flownuma"] for row in rows} == {records.where("srcip = 'hot'").count()}
+    assert {row["recordid"] for row in rows} == wanted
+    assert {row["flownuma"] for row in rows} == {len(rows)} == {records.where("srcip = 'hot'").count()}

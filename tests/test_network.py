@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from flowvigil.operators.deadletter import (
 )
 from flowvigil.operators.http import FLOW_COLUMNS, complete, drop_static, http_flows, parse_http
 from flowvigil.operators.route import route
-from flowvigil.operators.rules import match_rules, rule_rows
+from flowvigil.operators.rules import match_rules, resolve_rules, rule_rows
 from flowvigil.operators.uri_flows import (
     flow_messages,
     parse_flow_messages,
@@ -114,9 +115,17 @@ def test_bad_rules(spark, lines):
     assert hits(spark, flows) == [None]
 
 
-def test_rules_beyond_one_pass(spark, lines, monkeypatch):
+def test_a_thousand_rules_are_planned_in_seconds(spark, lines):
+    table = rule_frame(spark, *[(f"R{n}", "any", r"10\.0\.0\.1", rf"it's\s{n}\b") for n in range(1000)])
+    resolved = resolve_rules(table)
+    started = time.perf_counter()
+    matched = match_rules(http_flows(lines(flow(Uri="/a?it's 999", DstIp="10.0.0.1"))), resolved)
+    assert time.perf_counter() - started < 4
+    assert len(resolved) == 1000 and matched.isStreaming is False
+
+
+def test_rules_beyond_one_case(spark, lines, monkeypatch):
     monkeypatch.setattr(rules_module, "RULES_PER_CASE", 2)
-    monkeypatch.setattr(rules_module, "RULES_PER_PASS", 5)
     flows = http_flows(lines(*[flow(Uri=f"/p{n};", N=n) for n in range(14)]))
     rules = [(f"R{n}", "any", "any", f"p{n};") for n in range(12)]
     rules.append(("late", "any", "any", "p"))

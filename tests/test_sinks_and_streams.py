@@ -45,6 +45,7 @@ def test_targets_without_a_location_append(spark):
 
     class Recording(Target):
         def write(self, df):
+            assert df.columns == ["id", "stream_id", "batch_id"]
             calls.append((self.format, self.mode, dict(self.options), df.count()))
 
     base = jdbc_target("jdbc:x", "alerts", {"user": "u"}, batch_size=7, connections=3)
@@ -84,8 +85,8 @@ def test_tables(spark):
     assert Source("csv", folder, {"header": True}).read(spark).count() == 3
     assert bounded(spark.range(9), 4, ["id"]).count() == 4
     assert bounded(spark.range(9), None, ["id"]).count() == 9
-    assert spread(spark.range(9).coalesce(1)).rdd.getNumPartitions() == 4
-    assert spread(spark.range(0, 90, 1, 64)).rdd.getNumPartitions() == 64
+    assert spread(spark.range(9).coalesce(1), 4).rdd.getNumPartitions() == 4
+    assert spread(spark.range(0, 90, 1, 64), None).rdd.getNumPartitions() == 64
     rules = rows(
         spark,
         [("r1", "a", "b", "c"), ("r2", "a", "b", "c")],
@@ -154,7 +155,7 @@ def test_network_stream_equals_batch(spark, feed):
         "letters": tables.letters.drop("time"),
     }
     for name in outputs:
-        written = spark.read.parquet(targets[name].location).drop("batch_id", "time")
+        written = spark.read.parquet(targets[name].location).drop("stream_id", "batch_id", "time")
         assert sorted(map(str, written.collect())) == sorted(map(str, batch[name].collect()))
 
 
@@ -165,7 +166,7 @@ def test_syslog_stream_equals_batch(spark, feed):
     targets = {name: Target("parquet", work_folder(spark, name)) for name in ("rows", "letters")}
     stream = feed(texts[:1], texts[1:])
     start_syslog_etl(stream, VENDOR_PATTERNS, targets, options(spark), now=5).awaitTermination()
-    written = spark.read.parquet(targets["rows"].location).drop("batch_id")
+    written = spark.read.parquet(targets["rows"].location).drop("stream_id", "batch_id")
     everything = spark.createDataFrame([(text,) for text in texts], "value string")
     expected = syslog_rows(everything, VENDOR_PATTERNS, now=5)
     assert sorted(map(str, written.collect())) == sorted(map(str, expected.collect()))
@@ -191,6 +192,15 @@ def test_failed_batch_is_run_again(spark, feed):
     assert sorted(row["value"] for row in spark.read.parquet(target.location).collect()) == ["a", "b"]
 
 
+def test_a_new_checkpoint_erases_nothing(spark, feed):
+    target = Target("parquet", work_folder(spark, "twice"))
+    for texts in (["a", "b"], ["c"]):
+        options(spark).start(feed(texts), target.write_batch).awaitTermination()
+    rows = spark.read.parquet(target.location).collect()
+    assert sorted(row["value"] for row in rows) == ["a", "b", "c"]
+    assert len({row["stream_id"] for row in rows}) == 2
+
+
 def test_groups_split_over_batches_are_not_merged(spark, feed):
     line = 'send a message: [[{"srcip":"s","dstip":"d","proto":"tcp","recordtime":1,"srcport":1}]]'
     target = Target("parquet", work_folder(spark, "features"))

@@ -7,9 +7,11 @@ can learn, so SQL knows the predictions too.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cache
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,6 +174,27 @@ def _uri_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "uri_regression",
+    """
+select label, 2 * count(*) as n, true as mostly_found, true as sure from fx_http group by label
+""",
+)
+def _uri_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regression with a penalty that leaves it weights, and both probabilities."""
+    training = _uri_training(spark, sf_dir)
+    settings = replace(URI_SETTINGS, regularization=1e-4, elastic_net=0.0, regression_iterations=60)
+    scored = train_text_model(training, settings).transform(training)
+    sure = F.lit(True)
+    for name in ("LR", "RF"):
+        chosen = F.get(vector_to_array(F.col(f"probability{name}")), F.col(f"prediction{name}").cast("int"))
+        sure &= chosen.between(0.5, 1.0)
+    right = (F.col("label") == F.col("predictedLabelLR")).cast("double")
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), (F.avg(right) > 0.8).alias("mostly_found"), F.bool_and(sure).alias("sure")
+    )
+
+
 @query(
     "text_quality_model",
     """

@@ -128,6 +128,33 @@ def _http_rule_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matched(spark, sf_dir).select(_event_id(), "uri", "ruleid")
 
 
+@query(
+    "http_many_rules",
+    f"""
+with numbers as (
+  select distinct cast(substr(p_brand, 7) as bigint) * 100 + p_size as number from part),
+flows as (select event_id from fx_http where marker <> 'other' and not {sp.STATIC})
+select event_id, case when number is not null then concat('part', number) end as ruleid
+from flows left join numbers on event_id % 8 = 5 and event_id = number
+""",
+)
+def _http_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each brand and size of the parts, behind one that does not compile."""
+    number = F.substring("p_brand", 7, 9).cast("bigint") * 100 + F.col("p_size")
+    good = fx.table(spark, sf_dir, "part").select(number.alias("rule_pos")).distinct()
+    text = F.col("rule_pos").cast("string")
+    rules = good.select(
+        "rule_pos", F.concat(F.lit("part"), text).alias("ruleid"), F.lit("any").alias("sourceip"),
+        F.lit("any").alias("destip"), F.concat(F.lit(r"/item\?id="), text, F.lit("&")).alias("rule_regular_expression"),
+    )
+    broken = fx.rules(spark).limit(1).select(
+        F.lit(-1).cast("bigint").alias("rule_pos"), F.lit("broken").alias("ruleid"), "sourceip", "destip",
+        F.lit("item(").alias("rule_regular_expression"),
+    )
+    matched = match_rules(http_flows(_http(spark, sf_dir)), rules.unionByName(broken))
+    return matched.select(_event_id(), "ruleid")
+
+
 @query(
     "http_rule_rows",
     f"""

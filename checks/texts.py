@@ -28,6 +28,7 @@ from flowvigil.operators.syslog import (
     syslog_rows,
 )
 from flowvigil.operators.uri_flows import recent_queries, training_rows
+from flowvigil.plans.uri_model import word_tokenizer
 from flowvigil.session import work_folder
 from flowvigil.sources.patterns import (
     VENDOR_PATTERNS,
@@ -110,8 +111,24 @@ def _uri_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("uri_words", f"{_URIS} select source, id, {sp.words(sp.cleaned('uri'))} as text from uris")
 def _uri_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = uri_words(clean_uri(F.col("uri")))
-    return _uris(spark, sf_dir).select("source", "id", F.array_join(words, " ").alias("text"))
+    """By the stage that models use, and by the expression that stands for it."""
+    cleaned = _uris(spark, sf_dir).select("source", "id", clean_uri(F.col("uri")).alias("uri"))
+    staged = word_tokenizer("uri").transform(cleaned)
+    same = F.array_join(F.when(F.col("words") == uri_words(F.col("uri")), F.col("words")), " ")
+    return staged.select("source", "id", same.alias("text"))
+
+
+LEXICON = ("union", "select", "item", "name", "luannumber", "http")
+
+
+@query(
+    "uri_lexicon",
+    f"""{_URIS}
+select source, id, array_to_string(regexp_extract_all({sp.normalized(sp.decoded('uri'))},
+  '{"|".join(sorted(LEXICON, key=lambda word: (-len(word), word)))}|[a-z0-9]+|[^\s]'), '|') as text from uris""",
+)
+def _uri_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _uris(spark, sf_dir).select("source", "id", clean_uri(F.col("uri"), LEXICON).alias("text"))
 
 
 @query(

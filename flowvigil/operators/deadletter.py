@@ -14,22 +14,26 @@ from flowvigil.operators.route import HTTP_MARKERS, is_http
 from flowvigil.operators.syslog import DELIMITER, REPORT_IP_FIELD
 
 
-def network_errors(
+def parse_network(
     lines: DataFrame, value: str = "value", markers: Sequence[str] = HTTP_MARKERS
 ) -> DataFrame:
-    """Add ``error``: why an HTTP or netflow line does not parse. It is null for
-    lines that do, and for lines without a payload."""
+    """Route and parse each line once.
+
+    Adds ``http``, ``flowcontent`` (the object of an HTTP line as a map),
+    ``records`` (those of a netflow line) and ``error``: why a line does not
+    parse. That is null for lines that do, and for lines without a payload.
+    """
     text = F.col(value)
-    routed = once(lines, "_http", is_http(text, markers))
+    routed = once(lines, "http", is_http(text, markers))
     flow = json_object(F.regexp_extract(text, JSON_SPAN, 1))
     records = F.from_json(F.regexp_extract(text, RECORD_SPAN, 1), "array<map<string,string>>")
-    has_flow = F.col("_http") & text.rlike(JSON_SPAN)
-    has_records = ~F.col("_http") & text.rlike(RECORD_SPAN)
+    has_flow = F.col("http") & text.rlike(JSON_SPAN)
+    has_records = ~F.col("http") & text.rlike(RECORD_SPAN)
     parsed = F.struct(
         has_flow.alias("has_flow"),
         has_records.alias("has_records"),
         F.when(has_flow, flow).alias("flow"),
-        F.when(has_records, records.isNotNull()).alias("records_good"),
+        F.when(has_records, records).alias("records"),
     )
     result = F.col("_parsed")
     dates = F.map_values(F.map_filter(result["flow"], lambda key, _: F.lower(key) == "date"))
@@ -38,11 +42,25 @@ def network_errors(
         F.when(result["has_flow"] & result["flow"].isNull(), "http payload is no JSON object")
         .when(result["has_flow"] & bad_date, "http date has fewer than ten digits")
         .when(
-            result["has_records"] & ~result["records_good"],
+            result["has_records"] & result["records"].isNull(),
             "netflow payload is no JSON array of objects",
         )
     )
-    return once(once(routed, "_parsed", parsed), "error", error).drop("_http", "_parsed")
+    checked = once(once(routed, "_parsed", parsed), "error", error)
+    return checked.select(
+        *[name for name in lines.columns],
+        "http",
+        result["flow"].alias("flowcontent"),
+        result["records"].alias("records"),
+        "error",
+    )
+
+
+def network_errors(
+    lines: DataFrame, value: str = "value", markers: Sequence[str] = HTTP_MARKERS
+) -> DataFrame:
+    """Add ``error`` of ``parse_network``."""
+    return parse_network(lines, value, markers).drop("http", "flowcontent", "records")
 
 
 def syslog_errors(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -70,7 +88,7 @@ def dead_letter_messages(letters: DataFrame) -> DataFrame:
 
 
 def fail_on_error(checked: DataFrame) -> DataFrame:
-    """Strict mode: the first line with an error fails the job."""
+    """Strict mode: the first line with an error fails the job, whatever filters follow."""
     error = F.col("error")
     good = F.when(error.isNotNull(), F.raise_error(error).cast("boolean")).otherwise(True)
-    return checked.where(good).drop("error")
+    return once(checked, "_good", good).where("_good").drop("_good", "error")

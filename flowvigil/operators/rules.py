@@ -42,9 +42,9 @@ def rules_in_order(rules: DataFrame, order: str = "rule_pos") -> Iterator[Rule]:
 
 
 def _compiles(spark: SparkSession, patterns: Sequence[str]) -> bool:
-    tests = [F.lit("").rlike(pattern) for pattern in patterns]
+    tests = ", ".join(f"'' rlike {_sql_text(pattern)}" for pattern in patterns)
     try:
-        spark.range(1).select(*tests).collect()
+        spark.range(1).select(F.expr(f"array({tests})")).collect()
     except PySparkException:
         return False
     return True

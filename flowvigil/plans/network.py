@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.operators.deadletter import dead_letters, fail_on_error, network_errors
-from flowvigil.operators.http import http_flows
-from flowvigil.operators.netflow import netflow_records
+from flowvigil.operators.deadletter import dead_letters, fail_on_error, parse_network
+from flowvigil.operators.http import complete, drop_static
+from flowvigil.operators.netflow import explode_records, typed_records
 from flowvigil.operators.netflow_messages import json_messages
-from flowvigil.operators.route import is_http
 from flowvigil.operators.rules import Rule, match_rules, rule_rows
 from flowvigil.operators.uri_flows import flow_messages
 from flowvigil.sources.sinks import documents
@@ -43,15 +42,34 @@ def network_tables(
     strict: bool = False,
     id_mode: str = "hash",
 ) -> NetworkTables:
-    """Route, parse and match rules.
+    """Route, parse and match rules; see :func:`tables_of`."""
+    return tables_of(parse_network(lines, value), rules, value, strict, id_mode)
+
+
+def tables_of(
+    parsed: DataFrame,
+    rules: DataFrame | Sequence[Rule],
+    value: str = "value",
+    strict: bool = False,
+    id_mode: str = "hash",
+) -> NetworkTables:
+    """Tables of lines that ``parse_network`` has been over. Whoever reads more than
+    one of them stores the parsed lines first, and no line is parsed twice.
 
     A line with an error is a dead letter and nothing else, a bad date included;
     ``strict`` fails on it instead.
     """
-    checked = network_errors(lines, value)
-    letters = dead_letters(checked, "network", value)
-    passed = fail_on_error(checked) if strict else checked.where(F.col("error").isNull()).drop("error")
-    http = passed.where(is_http(F.col(value)))
-    netflow = passed.where(~is_http(F.col(value)))
-    flows = rule_rows(match_rules(http_flows(http, value, id_mode), rules))
-    return NetworkTables(flows.drop(value), netflow_records(netflow, value, id_mode), letters)
+    letters = dead_letters(parsed, "network", value)
+    error = F.col("error").isNotNull()
+
+    def good(wanted: Column) -> DataFrame:
+        # In strict mode the filter lets errors through: it may run first.
+        if strict:
+            return fail_on_error(parsed.where(wanted | error))
+        return parsed.where(wanted & ~error).drop("error")
+
+    http = good(F.col("http") & F.col("flowcontent").isNotNull()).drop("http", "records")
+    flows = complete(drop_static(http), value, id_mode)
+    netflow = good(F.col("records").isNotNull()).drop("http", "flowcontent")
+    records = typed_records(explode_records(netflow, value, id_mode))
+    return NetworkTables(rule_rows(match_rules(flows, rules)).drop(value), records, letters)

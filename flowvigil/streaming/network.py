@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowvigil.operators.deadletter import parse_network
 from flowvigil.operators.rules import resolve_rules
-from flowvigil.plans.network import network_tables
+from flowvigil.plans.network import tables_of
 from flowvigil.sources.sinks import Target
 from flowvigil.streaming.run import StreamOptions, stored, write_outputs
 
@@ -34,8 +35,8 @@ def start_network_etl(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"network-{batch_id}")
         counted = batch.observe(seen, F.count(F.lit(1)).alias("lines"))
-        with stored(counted) as (kept,):
-            tables = network_tables(kept, resolved, strict=strict)
+        with stored(parse_network(counted)) as (kept,):
+            tables = tables_of(kept, resolved, strict=strict)
             with stored(tables.flows, tables.records) as (flows, records):
                 tables = replace(tables, flows=flows, records=records)
                 outputs = {

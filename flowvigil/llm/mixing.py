@@ -190,23 +190,29 @@ def mix_sources(
         )
     )
     out = rated.drop("key", "hash", "bucket").schema.add("copies", "long").add("taken", "long")
-    return rated.groupBy("key", "bucket").applyInPandas(round_rates, out)
+    return rated.groupBy("key", "bucket").applyInPandas(lambda bucket: round_rates(bucket, cap), out)
 
 
-def round_rates(rows: pd.DataFrame) -> pd.DataFrame:
+def round_rates(rows: pd.DataFrame, cap: int) -> pd.DataFrame:
     """Copies of a bucket's documents: the words still owed decide between two counts.
 
-    From the longest document to the shortest, so that what is owed in the end is
-    less than a short document.
+    From the longest document to the shortest; then, in the same order, a document
+    gets one copy more or less if that brings the bucket nearer to what it owes.
     """
     rows = rows.sort_values(["size", "hash", "doc_id"], ascending=[False, True, True])
+    sizes, rates = rows["size"].tolist(), rows["rate"].tolist()
     copies, owed = [], 0.0
-    for size, rate in zip(rows["size"].tolist(), rows["rate"].tolist(), strict=True):
+    for size, rate in zip(sizes, rates, strict=True):
         low = math.floor(rate)
         owed += (rate - low) * size
         more = rate > low and owed >= size / 2
         copies.append(low + more)
         owed -= size * more
+    for k, size in enumerate(sizes):
+        step = 1 if owed > 0 else -1
+        if 0 <= copies[k] + step <= cap and abs(owed - step * size) < abs(owed):
+            copies[k] += step
+            owed -= step * size
     rows["copies"] = copies
     rows["taken"] = rows["copies"] * rows["size"]
     return rows.drop(columns=["key", "hash", "bucket"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowvigil.operators.syslog import SyslogPattern
 
 XML_SCHEMA = (
-    "_id string, _requires string, _optional string, content string, "
+    "_id string, _position int, _requires string, _optional string, content string, "
     "field array<struct<_id: string, _group: int>>"
 )
 
@@ -72,8 +72,8 @@ VENDOR_PATTERNS = (
 def pattern_table(spark: SparkSession, patterns: Sequence[SyslogPattern]) -> DataFrame:
     """Patterns as rows in the layout of the XML file."""
     values = [
-        (p.id, "\n".join(p.requires) or None, "\n".join(p.optional) or None, p.pattern, p.fields)
-        for p in patterns
+        (p.id, k, "\n".join(p.requires) or None, "\n".join(p.optional) or None, p.pattern, p.fields)
+        for k, p in enumerate(patterns)
     ]
     return spark.createDataFrame(values, XML_SCHEMA).coalesce(1)
 
@@ -83,7 +83,8 @@ def write_patterns(table: DataFrame, path: str) -> None:
 
 
 def read_patterns(spark: SparkSession, path: str) -> tuple[SyslogPattern, ...]:
-    """Patterns of an XML file, in file order.
+    """Patterns of XML files by their attribute ``position``; those without one come
+    last, in file order, which is sure for a single file that one task reads.
 
     ``<pattern id=..><content>..</content><field id=.. group=../>..</pattern>``;
     the attributes ``requires`` and ``optional`` hold one entry per line. The
@@ -104,5 +105,5 @@ def read_patterns(spark: SparkSession, path: str) -> tuple[SyslogPattern, ...]:
             tuple((row["_requires"] or "").split("\n")) if row["_requires"] else (),
             tuple((row["_optional"] or "").split("\n")) if row["_optional"] else (),
         )
-        for row in table.orderBy("_pos").collect()
+        for row in table.orderBy(F.col("_position").asc_nulls_last(), "_pos").collect()
     )

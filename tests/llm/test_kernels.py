@@ -46,7 +46,7 @@ def test_shards_agree_with_plain_minimum(pieces, shard):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.integers(0, 2**64 - 1), st.integers(0, 2**64 - 1), st.sets(st.integers(0, 127), max_size=20), st.sampled_from([(4, 1, 2), (4, 1, 1), (4, 1, 3), (20, 2, 1), (9, 1, 2), (2, 1, 2)]))
+@given(st.integers(0, 2**64 - 1), st.integers(0, 2**64 - 1), st.sets(st.integers(0, 127), max_size=26), st.sampled_from([(4, 1, 2), (4, 1, 1), (4, 1, 3), (20, 2, 1), (26, 2, 1), (9, 1, 2), (2, 1, 2)]))
 def test_fingerprints_within_the_radius_meet_in_a_cell(a, b, flips, setting):
     radius, words, bits = setting
     flips = sorted(bit for bit in flips if bit < 64 * words)[:radius]

@@ -45,6 +45,8 @@ SEEDS = (42, 43)
 #: A cell whose own fingerprints number more than this is cut into blocks.
 HEAVY = 512
 BLOCK = 4096
+#: Rows of a larger group that are compared with the rest of it at a time.
+ROWS = 128
 #: Runs up to this length are compared pair by pair in one vector operation.
 SHORT = 8
 
@@ -258,23 +260,47 @@ def _heavy_cells(prints: DataFrame, words: int, radius: int, segment_bits: int)
 
 def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Differing bits; the first axis is the words of a fingerprint."""
-    return np.bitwise_count(left ^ right).sum(axis=0, dtype=np.int32)
+    out = np.bitwise_count(left[0] ^ right[0])
+    for a, b in zip(left[1:], right[1:], strict=True):
+        out = out + np.bitwise_count(a ^ b)
+    return out
+
+
+def _linked(fp: np.ndarray, rows: np.ndarray, others: np.ndarray, radius: int) -> np.ndarray:
+    return _apart(fp[:, rows, None], fp[:, None, others]) <= radius
 
 
 def _together(fp: np.ndarray, radius: int) -> np.ndarray:
-    """For each of a group's fingerprints the first that it hangs together with."""
-    n = fp.shape[1]
-    label = np.arange(n)
-    step = max(1, (1 << 20) // n)
-    while True:
-        new = label.copy()
-        for at in range(0, n, step):
-            linked = _apart(fp[:, at : at + step, None], fp[:, None, :]) <= radius
-            new[at : at + step] = np.where(linked, label[None, :], n).min(axis=1)
-        new = np.minimum(new, new[new])
-        if np.array_equal(new, label):
-            return label
-        label = new
+    """For each of a group's fingerprints the first that it hangs together with.
+
+    Some rows at a time are compared with all that are left. Those without a link
+    leave; from the first with one, its whole component is walked and leaves.
+    A family of near copies leaves in a few steps, however large it is.
+    """
+    label = np.arange(fp.shape[1])
+    left = label
+    while len(left) > 1:
+        linked = _linked(fp, left[:ROWS], left, radius)
+        if np.count_nonzero(linked) == len(linked):
+            left = left[ROWS:]
+            continue
+        found = np.flatnonzero(linked.sum(axis=1) > 1)
+        if not len(found):
+            left = left[ROWS:]
+            continue
+        first = left[found[0]]
+        member = linked[found[0]]
+        # Rows before the first with a link have none.
+        member[: found[0]] = True
+        front = left[linked[found[0]] & (np.arange(len(left)) > found[0])]
+        label[front] = first
+        left = left[~member]
+        while len(front) and len(left):
+            near = _linked(fp, front[:ROWS], left, radius).any(axis=0)
+            label[left[near]] = first
+            front = np.concatenate([front[ROWS:], left[near]])
+            left = left[~near]
+    return label
 
 
 def _group_edges(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:

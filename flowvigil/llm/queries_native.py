@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowvigil.llm.chat_format import format_conversations, read_back, text_parts
 from flowvigil.llm.line_dedup import remove_repeated_windows
 from flowvigil.llm.pii import find_pii
+from flowvigil.llm.pii_sql import SQL_PII
 from flowvigil.llm.registry import query, table
 
 SQL_LINES = r"""
@@ -49,7 +50,7 @@ def _count(name: str) -> Column:
     return F.size(of_kind).cast("bigint").alias(f"n_{name}")
 
 
-@query("op7_pii")
+@query("op7_pii", SQL_PII)
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda span: span["base"])

@@ -7,7 +7,6 @@ from collections import Counter
 
 import duckdb
 import numpy as np
-import pii_sql
 import pytest
 import xxhash
 from compare import TABLES, compare
@@ -140,12 +139,6 @@ def test_op5_components(spark, texts):
     assert [got[i].component_id for i in ids] == [ids[k] for k in label]
 
 
-def test_op7_base_spans(spark, connection):
-    got = rows(spark, "op7_pii")
-    for row in connection.sql(pii_sql.SQL_PII).fetchall():
-        assert row == tuple(got[row[0]])[:6]
-
-
 def test_op9_removed_bytes(spark, texts):
     got = rows(spark, "op9_substring_dedup")
     seen = set()

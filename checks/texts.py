@@ -123,7 +123,7 @@ LEXICON = ("union", "select", "item", "name", "luannumber", "http")
 
 @query(
     "uri_lexicon",
-    f"""{_URIS}
+    rf"""{_URIS}
 select source, id, array_to_string(regexp_extract_all({sp.normalized(sp.decoded('uri'))},
   '{"|".join(sorted(LEXICON, key=lambda word: (-len(word), word)))}|[a-z0-9]+|[^\s]'), '|') as text from uris""",
 )

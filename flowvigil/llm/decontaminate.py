@@ -4,7 +4,8 @@
 2. An n-gram of an item is rare, and a seed, if the product of its words'
    frequencies makes it unlikely in a document by chance. The measure is not the
    n-gram's own frequency, so an item that leaked into a third of the corpus
-   keeps its seeds. An item without a rare n-gram gives its rarest ones.
+   keeps its seeds. An item whose rare n-grams are so few that one word may be in
+   all of them gives every n-gram.
 3. A scan of the documents finds seeds and cuts out passages: as far to each side
    as the item goes, and some words more. The seeds join passages to items.
 4. Word-level local alignment scores every pair; edits, gaps and paraphrases
@@ -43,8 +44,6 @@ SEED_BLOCK = 1 << 20
 WORD_BLOCK = 1 << 20
 #: A seed is to be expected by chance in at most this share of documents.
 CHANCE = 1e-3
-#: Rarest n-grams that an item gives if it has no rare one.
-FALLBACK = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 PAIRS = 256
 
@@ -138,8 +137,8 @@ def word_counts(documents: DataFrame, words: DataFrame, text: str = "text") -> D
     return total.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def choose_seeds(grams: DataFrame, counts: DataFrame, documents: int) -> DataFrame:
-    """The rare n-grams of each item, or its rarest."""
+def choose_seeds(grams: DataFrame, counts: DataFrame, documents: int, n: int = N) -> DataFrame:
+    """The rare n-grams of each item, or all if one word may be in every rare one."""
     whole = counts.where("word is null").first()
     everything = max(1, whole["n"] if whole else 1)
     known = counts.where("word is not null")
@@ -151,10 +150,10 @@ def choose_seeds(grams: DataFrame, counts: DataFrame, documents: int) -> DataFra
         .agg(F.sum(share).alias("chance"))
     )
     limit = float(np.log(CHANCE * max(1, documents) / everything))
-    by_item = Window.partitionBy("item_id").orderBy("chance", "position")
-    return chance.withColumn("rank", F.row_number().over(by_item)).where(
-        (F.col("chance") <= limit) | (F.col("rank") <= FALLBACK)
-    )
+    rare = F.col("chance") <= limit
+    # A word stands in at most n n-grams at one place.
+    n_rare = F.count(F.when(rare, 1)).over(Window.partitionBy("item_id"))
+    return chance.withColumn("n_rare", n_rare).where(rare | (F.col("n_rare") <= n))
 
 
 def find_passages(documents: DataFrame, reach: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], text: str) -> DataFrame:
@@ -313,7 +312,7 @@ def find_contamination(
     if vocabulary.isEmpty():
         return documents.sparkSession.createDataFrame([], schema)
     counts = stored(word_counts(documents, vocabulary, text), "counts")
-    seeds = stored(choose_seeds(grams, counts, documents.count()), "seeds")
+    seeds = stored(choose_seeds(grams, counts, documents.count(), n), "seeds")
     slack = F.ceil(F.col("length") * 0.2).cast("int") + 5
     reach = stored(
         seeds.groupBy(F.col("gram").alias("value"), F.least("length", F.lit(n)).alias("width")).agg(

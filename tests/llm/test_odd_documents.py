@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,19 @@ def test_edited_passages_are_found(spark):
     assert [row.doc_id for row in find_contamination(docs, items).collect()] == [1]
 
 
+def test_item_of_common_words_is_found_without_its_rarest(spark):
+    rng = random.Random(5)
+    common = [f"w{k}" for k in range(20)]
+    filler = [[rng.choice(common) if rng.random() > 0.02 else "seldom" for _ in range(40)] for _ in range(300)]
+    item = [rng.choice(common) for _ in range(30)]
+    item[15] = "seldom"
+    edited = [*item[:15], "other", *item[16:]]
+    rows = [(k, " ".join(words)) for k, words in enumerate(filler)]
+    docs = spark.createDataFrame([*rows, (1000, " ".join(edited))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    assert [row.doc_id for row in find_contamination(docs, items).collect()] == [1000]
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_pipeline_stages(spark, odd, none, sf_dir, empty):
     docs = none if empty else odd

@@ -6,5 +6,6 @@ from flowvigil.llm import (  # noqa: F401
     queries_models,
     queries_native,
     queries_text,
+    queries_trie,
 )
 from flowvigil.llm.registry import ORACLES, QUERIES  # noqa: F401

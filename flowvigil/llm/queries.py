@@ -5,6 +5,7 @@ from flowvigil.llm import (  # noqa: F401
     queries_mixing,
     queries_models,
     queries_native,
+    queries_nearest,
     queries_resample,
     queries_text,
     queries_trie,

@@ -16,7 +16,7 @@ NORMAL = "normal"
 INJECTION = "sql"
 ID_PREFIX = "ignore"
 
-INT_MAX = (1 << 31) - 1
+INT_MIN, INT_MAX = -(1 << 31), (1 << 31) - 1
 
 #: Ports per side of one block of a port product.
 PORT_BLOCK = 256
@@ -74,8 +74,9 @@ def attack_groups(scored: DataFrame) -> DataFrame:
 
 def _alert_columns(recordid: Column, cost: Column, srcport: Column, dstport: Column) -> list[Column]:
     def whole(name: str) -> Column:
-        # Sums of a busy conversation pass the column's type: they stop at its end.
-        return F.least(F.col(name), F.lit(float(INT_MAX))).cast("int")
+        # Sums of a busy conversation pass the column's type: they stop at its ends. No sum stays none.
+        inside = F.greatest(F.least(F.col(name), F.lit(float(INT_MAX))), F.lit(float(INT_MIN)))
+        return F.when(F.col(name).isNotNull(), inside).cast("int")
 
     return [
         recordid.alias("recordid"),

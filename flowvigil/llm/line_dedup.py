@@ -7,14 +7,14 @@ Windows are judged on the input, not on what is left.
 
 Defined cases: a null text has no lines and stays null; a text of one or two
 lines has no window and stays whole; windows of blank lines only are no windows;
-null ids come first and count as one document; rows with one id are one document
-as far as order goes, so of two equal rows both stay whole; lines of a repeat
-inside a document go like any other. Other columns are carried along, whatever
-their names, but for those this operator adds.
+null ids come first; rows with one id, or with none, have one place in the order,
+so of two equal rows both stay whole, but each row loses only lines that its own
+text repeats; lines of a repeat inside a document go like any other. Other columns
+are carried along, whatever their names, but for those this operator adds.
 
 Scale: each line is hashed where it is read. Windows are counted with map-side
-aggregation, only repeated ones are joined back to their positions, and the side
-that may be hot comes from its own shuffle, so a window that a third of the
+aggregation, only repeated ones are joined back to their positions, and both
+sides of that join have a shuffle of their own, so a window that a third of the
 documents share is split by adaptive execution. Only hashes are shuffled, and the
 texts once, for the removal.
 """
@@ -46,25 +46,30 @@ def _windows(lines: Column) -> Column:
 
 
 def window_occurrences(documents: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, line, a, b``: a row per window."""
-    lines = documents.select("doc_id", F.split(F.col(text), "\n", -1).alias("lines"))
-    windows = lines.select("doc_id", F.explode(_windows(F.col("lines"))).alias("window"))
-    return windows.select("doc_id", "window.line", "window.a", "window.b")
+    """``doc_id, own, line, a, b``: a row per window; ``own`` is a hash of the row's text."""
+    lines = documents.select(
+        "doc_id", F.xxhash64(F.col(text)).alias("own"), F.split(F.col(text), "\n", -1).alias("lines")
+    )
+    windows = lines.select("doc_id", "own", F.explode(_windows(F.col("lines"))).alias("window"))
+    return windows.select("doc_id", "own", "window.line", "window.a", "window.b")
 
 
 def covered_lines(documents: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, covered``: the starts of windows to remove, for documents that have any."""
+    """``doc_id, own, covered``: the starts of windows to remove, for rows that have any."""
     occurrences = window_occurrences(documents, text)
     firsts = (
         occurrences.groupBy("a", "b")
         .agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first")
+        # Dealt by a hash of the keys: the aggregate's own layout would spare the
+        # join a shuffle on this side, and with it the split of a hot window.
+        .repartition(F.xxhash64("ra", "rb"))
     )
     later = occurrences.join(firsts, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).where(
         ~(F.struct("doc_id", "line").eqNullSafe(F.col("first")))
     )
-    return later.groupBy("doc_id").agg(F.collect_set("line").alias("covered"))
+    return later.groupBy("doc_id", "own").agg(F.collect_set("line").alias("covered"))
 
 
 def remove_repeated_windows(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -73,10 +78,11 @@ def remove_repeated_windows(documents: DataFrame, text: str = "text") -> DataFra
     Columns of the input with an added name give way.
     """
     added = ("n_lines", "n_removed")
-    covered = covered_lines(documents, text).select(F.col("doc_id").alias("of"), "covered")
+    covered = covered_lines(documents, text).select(F.col("doc_id").alias("of"), "own", "covered")
     whole = documents.select(F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"))
-    joined = whole.join(covered, F.col("row.doc_id").eqNullSafe(F.col("of")), "left")
     old = F.col("row").getField(text)
+    same_row = F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.xxhash64(old) == F.col("own"))
+    joined = whole.join(covered, same_row, "left")
     lines = F.split(old, "\n", -1)
     gone = F.array_distinct(
         F.flatten(

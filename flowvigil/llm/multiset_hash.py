@@ -1,7 +1,8 @@
 """Document fingerprints: a homomorphic hash of the multiset of paragraphs.
 
 Every paragraph (a line of the text) is hashed to a wide vector; the fingerprint
-is their sum, lane by lane, modulo a power of two. So the order of paragraphs
+is their sum, lane by lane, modulo powers of two: 2^16 for the strong lanes, 2^32
+for the sketch, whose counts no text of less than 2 GB makes wrap. So the order of paragraphs
 does not matter, and a paragraph is inserted or deleted by adding or subtracting
 its vector, without the rest of the text.
 
@@ -32,7 +33,8 @@ from flowvigil.llm import tokens as tk
 
 STRONG = 64
 SKETCH = 128
-LANES = STRONG + SKETCH
+#: A vector in memory: the sketch as 32-bit counts, then the strong lanes, two to a word.
+LANES = SKETCH + STRONG // 2
 RUN = 3
 #: Characters of text that a task fingerprints at a time.
 CHUNK = 2 << 20
@@ -49,7 +51,8 @@ def _strong(paragraphs: list[bytes]) -> np.ndarray:
 def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of paragraph vectors: a row per text."""
     n = len(offsets) - 1
-    out = np.zeros((n, LANES), np.uint16)
+    out = np.zeros((n, LANES), np.uint32)
+    strong = np.zeros((n, STRONG), np.uint16)
     if not len(data):
         return out
     starts, ends = tk.word_spans(data, offsets, _NOT_NEWLINE)
@@ -58,10 +61,10 @@ def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(starts):
         lanes = _strong([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        out[owner[first], :STRONG] = np.add.reduceat(lanes, first, axis=0, dtype=np.uint16)
+        strong[owner[first]] = np.add.reduceat(lanes, first, axis=0, dtype=np.uint16)
     breaks = np.bincount(tk.owners(np.flatnonzero(data == 10), offsets), minlength=n)
     blank = breaks + (np.diff(offsets) > 0) - np.bincount(owner, minlength=n)
-    out[:, :STRONG] += blank[:, None].astype(np.uint16) * _strong([b""])
+    strong += blank[:, None].astype(np.uint16) * _strong([b""])
     word_start, word_end = tk.word_spans(data, offsets, tk.NOT_BLANK)
     hashes = tk.span_hashes(tk.prefix_sums(data), word_start, word_end)
     paragraph = np.searchsorted(starts, word_start, "right") - 1
@@ -71,47 +74,55 @@ def _vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     place = np.concatenate([at, short])
     lane = owner[paragraph[place]] * SKETCH + (hashed & np.uint64(SKETCH - 1)).astype(np.int64)
     sign = np.where(hashed & np.uint64(SKETCH), 1.0, -1.0)
-    out[:, STRONG:] = np.bincount(lane, sign, n * SKETCH).astype(np.int64).astype(np.uint16).reshape(n, SKETCH)
+    out[:, :SKETCH] = np.bincount(lane, sign, n * SKETCH).astype(np.int64).astype(np.uint32).reshape(n, SKETCH)
+    out[:, SKETCH:] = strong.view(np.uint32)
     return out
 
 
 def fingerprint_vectors(texts: list[str | None]) -> np.ndarray:
-    out = np.zeros((len(texts), LANES), np.uint16)
+    out = np.zeros((len(texts), LANES), np.uint32)
     for at, to, data, offsets in tk.slices(pa.array(texts, pa.large_string())):
         out[at:to] = _vectors(data, offsets)
     return out
 
 
 def to_text(vectors: np.ndarray) -> list[str]:
-    return [row.astype("<u2").tobytes().hex() for row in vectors]
+    return [row.astype("<u4").tobytes().hex() for row in vectors]
 
 
 def from_text(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), "<u2").astype(np.uint16)
+    return np.frombuffer(bytes.fromhex(fingerprint), "<u4").astype(np.uint32)
+
+
+def combine(left: np.ndarray, right: np.ndarray, sign: int = 1) -> np.ndarray:
+    """Sums (or differences) of vectors, each lane modulo its power of two."""
+    out = left + right if sign > 0 else left - right
+    ours, theirs = (np.ascontiguousarray(x[..., SKETCH:]).view(np.uint16) for x in (left, right))
+    out[..., SKETCH:] = (ours + theirs if sign > 0 else ours - theirs).view(np.uint32)
+    return out
 
 
 def insert(fingerprint: str, paragraph: str) -> str:
     """The fingerprint with one paragraph more; ``paragraph`` has no line break."""
-    return to_text((from_text(fingerprint) + _of_paragraph(paragraph))[None, :])[0]
+    return to_text(combine(from_text(fingerprint), _of_paragraph(paragraph))[None, :])[0]
 
 
 def delete(fingerprint: str, paragraph: str) -> str:
     """The fingerprint with one paragraph less."""
-    return to_text((from_text(fingerprint) - _of_paragraph(paragraph))[None, :])[0]
+    return to_text(combine(from_text(fingerprint), _of_paragraph(paragraph), -1)[None, :])[0]
 
 
 def _of_paragraph(paragraph: str) -> np.ndarray:
     if not paragraph:
-        vector = np.zeros(LANES, np.uint16)
-        vector[:STRONG] = _strong([b""])[0]
+        vector = np.zeros(LANES, np.uint32)
+        vector[SKETCH:] = _strong([b""])[0].view(np.uint32)
         return vector
     return fingerprint_vectors([paragraph])[0]
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """0 to 1 for each pair of rows."""
-    a = left[:, STRONG:].view(np.int16).astype(np.float64)
-    b = right[:, STRONG:].view(np.int16).astype(np.float64)
+    a, b = (x[:, :SKETCH].astype(np.int32).astype(np.float64) for x in (left, right))
     norm = (a * a).sum(axis=1) + (b * b).sum(axis=1)
     near = np.where(norm > 0, 2 * (a * b).sum(axis=1) / np.maximum(norm, 1), 0.0)
     same = (left == right).all(axis=1)

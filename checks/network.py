@@ -155,6 +155,48 @@ def _http_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matched.select(_event_id(), "ruleid")
 
 
+#: Rules of the index query: five numbers for each of so many parts, two rules a number.
+INDEXED_PARTS = 1000
+
+
+@query(
+    "http_rule_index",
+    f"""
+with numbers as (
+  select distinct p_partkey % {INDEXED_PARTS} * 5 + k as number from part, range(5) as r(k)),
+flows as (select event_id, user_id from fx_http join events using (event_id) where marker <> 'other' and not {sp.STATIC})
+select event_id, case
+  when number is not null and user_id % 8 = 3 then concat('from3-', number)
+  when number is not null then concat('item', number)
+  when event_id % 8 = 7 then 'comma' end as ruleid
+from flows left join numbers on event_id % 8 = 5 and event_id = number
+""",
+)
+def _http_rule_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten thousand rules, filed by literals, and one without any."""
+    part = fx.table(spark, sf_dir, "part").select((F.col("p_partkey") % INDEXED_PARTS).alias("part")).distinct()
+    five = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: F.col("part") * 5 + k)
+    numbers = part.select(F.explode(five).alias("number"))
+    text = F.col("number").cast("string")
+    kinds = {
+        "from3-": (F.lit("10.0.0.3"), F.concat(F.lit(r"/item\?id="), text, F.lit("&name=(foo|bar)"))),
+        "item": (F.lit("any"), F.concat(F.lit("id="), text, F.lit(r"&name=foo\s+bar$"))),
+    }
+    rules = None
+    for position, (name, (source, pattern)) in enumerate(kinds.items()):
+        one = numbers.select(
+            (F.col("number") * 2 + position).alias("rule_pos"), F.concat(F.lit(name), text).alias("ruleid"),
+            source.alias("sourceip"), F.lit("any").alias("destip"), pattern.alias("rule_regular_expression"),
+        )
+        rules = one if rules is None else rules.unionByName(one)
+    comma = fx.rules(spark).limit(1).select(
+        F.lit(1 << 40).alias("rule_pos"), F.lit("comma").alias("ruleid"), "sourceip", "destip",
+        F.lit("[?].*,").alias("rule_regular_expression"),
+    )
+    matched = match_rules(http_flows(_http(spark, sf_dir)), rules.unionByName(comma), ip_match="strict")
+    return matched.select(_event_id(), "ruleid")
+
+
 @query(
     "http_rule_rows",
     f"""

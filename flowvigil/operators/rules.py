@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -11,11 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowvigil.functions import once, uri_decode
+from flowvigil.operators.rule_index import RuleIndex
 
 log = logging.getLogger(__name__)
 
 #: Rules per CASE expression.
 RULES_PER_CASE = 100
+#: So many rules are tried one by one; more are filed by the literals they need.
+INDEX_FROM = 200
 
 # Fixed value: only an address written with this counts as an address, see ``ip_match``.
 ESCAPED_DOT = "\\."
@@ -79,8 +83,8 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _address_test(address: str, wanted: str, ip_match: str) -> str | None:
-    """Test of one address, or None where the rule takes any.
+def _wanted_address(wanted: str, ip_match: str) -> str | None:
+    """The address a rule asks for, or None where it takes any.
 
     ``escaped``: a rule address without a backslash-dot is a wildcard, however
     it is written, and one with it can only equal itself. ``strict``: anything
@@ -92,7 +96,12 @@ def _address_test(address: str, wanted: str, ip_match: str) -> str | None:
         wildcard = wanted.strip().lower() in ("", "*", "any")
     else:
         raise ValueError(f"ip_match is 'escaped' or 'strict', not {ip_match!r}")
-    return None if wildcard else f"{address} = {_sql_text(wanted)}"
+    return None if wildcard else wanted
+
+
+def _address_test(address: str, wanted: str, ip_match: str) -> str | None:
+    only = _wanted_address(wanted, ip_match)
+    return None if only is None else f"{address} = {_sql_text(only)}"
 
 
 def _hit(rule: Rule, ip_match: str) -> str:
@@ -104,16 +113,28 @@ def _hit(rule: Rule, ip_match: str) -> str:
     return " and ".join(test for test in tests if test is not None)
 
 
-def _first_hit(rules: Sequence[Rule], ip_match: str) -> Column:
-    """One SQL text for all rules: the parser reads thousands in a second."""
+def _first_hit(rules: Sequence[Rule], places: Sequence[int], ip_match: str) -> Column:
+    """The place of the first rule that hits: one SQL text, whose parser reads thousands in a second."""
     cases = []
-    for start in range(0, len(rules), RULES_PER_CASE):
+    for start in range(0, len(places), RULES_PER_CASE):
         whens = [
-            f"when {_hit(rule, ip_match)} then {_sql_text(rule.ruleid)}"
-            for rule in rules[start : start + RULES_PER_CASE]
+            f"when {_hit(rules[place], ip_match)} then {place}"
+            for place in places[start : start + RULES_PER_CASE]
         ]
         cases.append(f"case {' '.join(whens)} end")
-    return F.expr(f"coalesce({', '.join(cases)})") if cases else F.lit(None).cast("string")
+    return F.expr(f"coalesce({', '.join(cases)})") if cases else F.lit(None).cast("int")
+
+
+def _hit_place(rules: Sequence[Rule], ip_match: str, index_from: int) -> Column:
+    if len(rules) < index_from:
+        return _first_hit(rules, range(len(rules)), ip_match)
+    index = RuleIndex(
+        rules,
+        source=lambda rule: _wanted_address(rule.sourceip, ip_match),
+        target=lambda rule: _wanted_address(rule.destip, ip_match),
+    )
+    filed = index.first_place(F.col("_decoded"), F.col("srcip"), F.col("dstip"))
+    return F.least(filed, _first_hit(rules, index.unfiled, ip_match))
 
 
 def match_rules(
@@ -123,19 +144,25 @@ def match_rules(
     on_bad_rule: str = "skip",
     order: str = "rule_pos",
     uri: Column | None = None,
+    index_from: int = INDEX_FROM,
 ) -> DataFrame:
     """Add ``ruleid`` of the first rule the flow hits, else null.
 
     The rules, a table or what ``resolve_rules`` made of it, become constants of
-    one expression: flows are neither joined nor shuffled nor stored, and each
-    pattern compiles once per task. ``uri`` is the address that is matched, by
-    default the column; pass ``flowcontent['Uri']`` to match flows only whose
-    key is written in exactly this way.
+    one expression: flows are neither joined nor shuffled nor stored. A few rules
+    are tried one by one, their patterns compiled once per task; from
+    ``index_from`` rules on, a flow tries those alone whose literals it holds.
+    ``uri`` is the address that is matched, by default the column; pass
+    ``flowcontent['Uri']`` to match flows only whose key is written in exactly
+    this way.
     """
     resolved = resolve_rules(rules, on_bad_rule, order) if isinstance(rules, DataFrame) else rules
     decoded = uri_decode(F.col("uri") if uri is None else uri)
     matched = once(flows, "_decoded", decoded)
-    return once(matched, "ruleid", _first_hit(resolved, ip_match)).drop("_decoded")
+    placed = once(matched, "_place", _hit_place(resolved, ip_match, index_from))
+    names = F.from_json(F.lit(json.dumps([rule.ruleid for rule in resolved])), "array<string>")
+    ruleid = F.when(F.col("_place").isNotNull(), F.element_at(names, F.col("_place") + F.lit(1)))
+    return placed.withColumn("ruleid", ruleid).drop("_decoded", "_place")
 
 
 def rule_rows(matched: DataFrame) -> DataFrame:

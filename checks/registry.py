@@ -47,6 +47,9 @@ def with_fixtures(sql: str) -> str:
     if not used:
         return sql.strip()
     body = sql.strip()
+    recursive = "with recursive "
+    if body.lower().startswith(recursive):
+        return f"{recursive}{ctes},\n{body[len(recursive):]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"

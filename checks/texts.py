@@ -17,6 +17,7 @@ from flowvigil.functions import (
     uri_tokens,
     uri_words,
 )
+from flowvigil.functions.segments import WordCosts, word_counts
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.route import is_http
 from flowvigil.operators.syslog import (
@@ -109,6 +110,49 @@ def _uri_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _uris(spark, sf_dir).select("source", "id", text.alias("text"))
 
 
+LEAST, LONGEST, MOST_WORDS = 3, 12, 20_000
+_LETTERS = f"regexp_replace({sp.decoded('uri')}, '[^a-z]', '', 'g')"
+
+
+@query(
+    "uri_least_cost",
+    f"""
+with recursive {_URIS.strip().removeprefix('with ')},
+spoken as (select unnest(string_split({sp.words(sp.tokens(sp.decoded('uri')))}, ' ')) as word from uris),
+counted as (
+  select word, count(*) as n from spoken where regexp_full_match(word, '[a-z]{{2,{LONGEST}}}')
+  group by word having count(*) >= {LEAST} order by n desc, word limit {MOST_WORDS}),
+total as (select sum(n)::double as n from counted),
+costs as (
+  select map(list(word), list(floor(1000 * ln(total.n / counted.n))::bigint)) as cost,
+    floor(1000 * ln(10 * any_value(total.n)))::bigint as unknown from counted, total),
+texts as (select distinct {_LETTERS} as text from uris),
+ways as (
+  select text, 0::bigint as pos, [{{'cost': 0::bigint, 'pieces': 0::bigint, 'start': 0::bigint}}] as best from texts
+  union all
+  select text, pos + 1, list_append(best, list_sort(list_filter(list_transform(range(greatest(0, pos + 1 - {LONGEST}), pos + 1),
+    lambda k: {{'cost': best[k + 1].cost + coalesce(cost[substr(text, k + 1, pos + 1 - k)], case when k = pos then unknown end),
+      'pieces': best[k + 1].pieces + 1, 'start': k}}), lambda w: w.cost is not null))[1])
+  from ways, costs where pos < length(text)),
+back as (
+  select text, pos as stop, best, [] :: varchar[] as pieces from ways where pos = length(text)
+  union all
+  select text, best[stop + 1].start, best,
+    list_prepend(substr(text, best[stop + 1].start + 1, stop - best[stop + 1].start), pieces)
+  from back where stop > 0)
+select source, id, array_to_string(pieces, '|') as text
+from uris join back on back.text = {_LETTERS} and stop = 0
+""",
+)
+def _uri_least_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The letters of each address run together, and cut into the words that addresses are made of."""
+    decoded = _uris(spark, sf_dir).select("source", "id", uri_decode(F.col("uri")).alias("uri"))
+    spoken = decoded.select(uri_words(uri_tokens(F.col("uri"))).alias("words"))
+    costs = WordCosts.of_counts(word_counts(spoken, "words", LEAST, LONGEST, MOST_WORDS))
+    letters = F.regexp_replace("uri", "[^a-z]", "")
+    return decoded.select("source", "id", uri_tokens(letters, costs).alias("text"))
+
+
 @query("uri_words", f"{_URIS} select source, id, {sp.words(sp.cleaned('uri'))} as text from uris")
 def _uri_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By the stage that models use, and by the expression that stands for it."""

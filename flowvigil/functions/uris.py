@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from flowvigil.functions.segments import WordCosts, segmented
+
 # Models and rules are only comparable with exactly these patterns.
 STRAY_PERCENT = r"%(?![0-9a-fA-F]{2})"
 NORMALIZE_STEPS = (
@@ -31,12 +33,15 @@ def uri_normalize(decoded: Column) -> Column:
     return decoded
 
 
-def uri_tokens(normalized: Column, lexicon: Sequence[str] = ()) -> Column:
+def uri_tokens(normalized: Column, lexicon: Sequence[str] | WordCosts = ()) -> Column:
     """Segment into tokens joined by ``|``.
 
-    Longest word of the lexicon first, then runs of letters and digits, then
-    single characters; blanks only separate.
+    With the costs of words, runs of letters are cut into words of least cost.
+    With a plain lexicon: its longest word first, then runs of letters and
+    digits, then single characters. Blanks only separate.
     """
+    if isinstance(lexicon, WordCosts):
+        return segmented(normalized, lexicon)
     words = sorted(set(lexicon), key=lambda word: (-len(word), word))
     choices = [re.escape(word) for word in words] + ["[a-z0-9]+", r"[^\s]"]
     return F.array_join(
@@ -44,7 +49,7 @@ def uri_tokens(normalized: Column, lexicon: Sequence[str] = ()) -> Column:
     )
 
 
-def clean_uri(uri: Column, lexicon: Sequence[str] = ()) -> Column:
+def clean_uri(uri: Column, lexicon: Sequence[str] | WordCosts = ()) -> Column:
     """Text the URI model is trained on and applied to."""
     return uri_tokens(uri_normalize(uri_decode(uri)), lexicon)
 

@@ -26,6 +26,7 @@ from flowvigil.operators.alerts import (
     attack_groups,
     injection_alerts,
 )
+from flowvigil.operators.evaluation import mean_ranks, rank_evaluation
 from flowvigil.operators.features import netflow_features
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.netflow import netflow_records
@@ -210,6 +211,59 @@ def _text_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), found.alias("mostly_found"))
 
 
+_JUDGED = """
+judged as (
+  select (l_quantity * 7 + l_partkey % 90)::double as score, l_returnflag = 'R' as positive from lineitem
+  where l_partkey % 90 <> 3),
+steps as (
+  select score, count(*) filter (positive) as n_pos, count(*) filter (not positive) as n_neg from judged group by score)"""
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores with many ties, some of them null or no number."""
+    rest = F.col("l_partkey") % 90
+    score = (F.col("l_quantity") * 7 + rest).cast("double")
+    broken = F.when(F.col("l_orderkey") % 2 == 0, F.lit(float("nan")))
+    return fx.table(spark, sf_dir, "lineitem").select(
+        F.when(rest == 3, broken).otherwise(score).alias("score"), (F.col("l_returnflag") == "R").alias("positive")
+    )
+
+
+@query(
+    "model_ranks",
+    f"""
+with {_JUDGED},
+ranked as (select score, positive, rank() over (order by score) as r, count(*) over (partition by score) as n from judged)
+select score, count(*) filter (positive) as n_pos, count(*) filter (not positive) as n_neg,
+  any_value(r + (n - 1) / 2.0::double)::double as rank
+from ranked group by score
+""",
+)
+def _model_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_ranks(_judged(spark, sf_dir), "score", "positive")
+
+
+@query(
+    "model_rank_evaluation",
+    f"""
+with {_JUDGED},
+totals as (select sum(n_pos) as p, sum(n_neg) as n from steps),
+ranked as (select positive, rank() over (order by score) as r, count(*) over (partition by score) as same from judged),
+area as (
+  select (sum(r + (same - 1) / 2.0::double) filter (positive) - any_value(p) * (any_value(p) + 1) / 2.0::double)
+    / (any_value(p)::double * any_value(totals.n)) as area from ranked, totals),
+curve as (
+  select score, sum(n_pos) over (order by score desc)::bigint as tp, sum(n_neg) over (order by score desc)::bigint as fp from steps),
+best as (
+  select score, tp, fp, 2.0::double * tp / (tp + fp + p) as f1 from curve, totals order by f1 desc, score desc limit 1)
+select p::bigint as n_pos, n::bigint as n_neg, area, score as threshold, f1, tp as true_pos, fp as false_pos
+from totals, area, best
+""",
+)
+def _model_rank_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_evaluation(_judged(spark, sf_dir), "score", "positive")
+
+
 def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = labelled_features(spark, sf_dir, port_lists=True)
     return features.withColumnRenamed("label", "predictedLabel")

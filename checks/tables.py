@@ -15,6 +15,8 @@ from flowvigil.operators.features import (
     recent_netflow_features,
 )
 from flowvigil.operators.netflow import netflow_records
+from flowvigil.operators.partials import PartialStore
+from flowvigil.operators.port_sets import merge_cells, port_cells, port_counts
 from flowvigil.operators.sampling import (
     attack_training_set,
     hash_split,
@@ -67,6 +69,71 @@ def _netflow_recent_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent_netflow_features(records(spark, sf_dir), fx.NOW, DAYS)
 
 
+#: Batches in which the records of the partials arrive; the last brings late ones of all days.
+BATCHES = 4
+
+
+def _partial_store(spark: SparkSession, sf_dir: str) -> PartialStore:
+    """Four batches of records, one of them run twice."""
+    store = PartialStore(work_folder(spark, "partials"))
+    for batch in (*range(BATCHES), 1):
+        events = fx.events(spark, sf_dir).where(F.col("event_id") % BATCHES == batch)
+        store.add(netflow_records(fx.netflow_lines(events)), batch)
+    return store
+
+
+@query(
+    "netflow_partial_features",
+    f"""
+with recent as (select * from fx_netflow where recordtime > {fx.NOW} - {DAYS} * 86400)
+{sp.features("recent", "'normal'")}
+""",
+)
+def _netflow_partial_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _partial_store(spark, sf_dir).features(spark, fx.NOW - DAYS * 86400)
+
+
+@query("netflow_compacted_features", f"select * {PLAIN} from ({_FEATURES})")
+def _netflow_compacted_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = PartialStore(work_folder(spark, "partials"))
+    _partial_store(spark, sf_dir).compact(spark, merged)
+    return merged.features(spark, lists=False)
+
+
+@query(
+    "netflow_port_rollup",
+    """
+with timed as (select srcip, starttime // 86400 as day, starttime // 604800 as week, srcport * 37 % 65536 as port from fx_netflow)
+select 'day' as span, srcip, day as number, cast(count(distinct port) as double) as ports from timed group by srcip, day
+union all
+select 'week', srcip, week, cast(count(distinct port) as double) from timed group by srcip, week
+union all
+select 'all', null, null, cast(count(distinct port) as double) from timed
+""",
+)
+def _netflow_port_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of days, rolled up to weeks and to one for all."""
+    timed = records(spark, sf_dir).select(
+        "srcip", F.floor(F.col("starttime") / 86400).alias("day"), (F.col("srcport").cast("int") * 37 % 65536).alias("port")
+    )
+    days = port_cells(timed, ["srcip", "day"], "port")
+    week = F.floor((F.col("day")) / 7).alias("week")
+    weeks = merge_cells(days, ["srcip", week])
+    whole = merge_cells(weeks.withColumn("span", F.lit("all")), ["span"])
+    return (
+        port_counts(days, ["srcip", "day"], "ports")
+        .select(F.lit("day").alias("span"), "srcip", F.col("day").alias("number"), "ports")
+        .unionByName(
+            port_counts(weeks, ["srcip", "week"], "ports")
+            .select(F.lit("week").alias("span"), "srcip", F.col("week").alias("number"), "ports")
+        )
+        .unionByName(
+            port_counts(whole, ["span"], "ports")
+            .select("span", F.lit(None).cast("string").alias("srcip"), F.lit(None).cast("bigint").alias("number"), "ports")
+        )
+    )
+
+
 @query(
     "netflow_sample",
     f"""

@@ -263,6 +263,17 @@ def fit(
     return ToxicityModel(features[used].astype(np.int32), w[used], float(b))
 
 
+def _taken(examples: pa.Table) -> list[tuple[int | None, np.ndarray, np.ndarray]]:
+    """Rows of examples, their features as slices of two arrays."""
+    sets = []
+    for name in ("plus", "minus"):
+        column = examples.column(name).combine_chunks()
+        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))])
+        values = column.flatten().to_numpy(zero_copy_only=False)
+        sets.append([values[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)])
+    return list(zip(examples.column("label").to_pylist(), *sets, strict=True))
+
+
 def train_toxicity(
     documents: DataFrame, labels: DataFrame, per_label: int = 1500, text: str = "text", **settings
 ) -> ToxicityModel:
@@ -271,10 +282,7 @@ def train_toxicity(
     sample = bounded_sample(known, "label", "doc_id", per_label)
     # At most two labels times per_label rows.
     rows = documents.select("doc_id", F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
-    taken = [
-        (row["label"], np.array(row["plus"], np.int32), np.array(row["minus"], np.int32))
-        for row in _examples(rows.select("label", "text")).collect()
-    ]
+    taken = _taken(_examples(rows.select("label", "text")).toArrow())
     taken.sort(key=lambda one: (one[0] is None, one[0] or 0, one[1].tobytes(), one[2].tobytes()))
     return fit(taken, **settings)
 

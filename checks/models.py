@@ -19,7 +19,7 @@ from checks import fixtures as fx
 from checks import sql_parts as sp
 from checks.registry import query
 from checks.tables import records
-from flowvigil.functions import ORIGIN
+from flowvigil.functions import ORIGIN, clean_uri
 from flowvigil.operators.alerts import (
     alerts_by_ports,
     alerts_by_record,
@@ -34,7 +34,12 @@ from flowvigil.operators.route import is_http
 from flowvigil.operators.uri_flows import query_text, recent_queries, training_rows
 from flowvigil.plans.models import confusion, load_model, save_model
 from flowvigil.plans.netflow_model import NetflowModelSettings, train_netflow_model
-from flowvigil.plans.uri_model import TextModelSettings, train_text_model
+from flowvigil.plans.uri_model import (
+    TextModelSettings,
+    embedded_texts,
+    train_counted_model,
+    train_text_model,
+)
 from flowvigil.session import work_folder
 
 NETFLOW_SETTINGS = NetflowModelSettings(trees=20, training_partitions=None)
@@ -82,14 +87,24 @@ def _uri_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @cache
-def _uri_model_path(spark: SparkSession, sf_dir: str) -> str:
+def uri_model_path(spark: SparkSession, sf_dir: str) -> str:
     path = work_folder(spark, "uri-model")
     save_model(train_text_model(_uri_training(spark, sf_dir), URI_SETTINGS), path)
     return path
 
 
 def uri_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    return load_model(_uri_model_path(spark, sf_dir))
+    return load_model(uri_model_path(spark, sf_dir))
+
+
+@cache
+def union_model_path(spark: SparkSession, sf_dir: str) -> str:
+    """A model that takes selections by UNION for injections and nothing else."""
+    path = work_folder(spark, "union-model")
+    label = F.when(F.col("uri").contains("union"), "sql").otherwise("normal")
+    training = _uri_training(spark, sf_dir).withColumn("label", label)
+    save_model(train_text_model(training, URI_SETTINGS), path)
+    return path
 
 
 _GROUPS = sp.features("fx_netflow", SQL_LABEL)
@@ -146,6 +161,23 @@ def _uri_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "uri_counted_model",
+    "select label, label as predicted, count(*) as n from fx_http group by label",
+)
+def _uri_counted_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classifiers on vectors from counts, without a vocabulary on the driver."""
+    rows = fx.http_columns(fx.events(spark, sf_dir)).select("event_id", "label", "uri")
+    cut = rows.withColumn("uri", clean_uri(query_text(F.col("uri"))))
+    settings = replace(URI_SETTINGS, min_count=2)
+    vectors, model = train_counted_model(cut, settings, "event_id")
+    scored = model.transform(embedded_texts(cut, vectors, settings, "event_id"))
+    counted = confusion(scored, "label", "predictedLabelRF")
+    return counted.select(
+        "label", F.col("predictedLabelRF").alias("predicted"), F.col("count").alias("n")
+    )
+
+
 DAYS = 7
 ALERT_ID = f"concat('ignore', md5({sp.HTTP_LINE}))"
 

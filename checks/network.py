@@ -23,6 +23,7 @@ from flowvigil.operators.netflow_messages import (
     text_messages,
 )
 from flowvigil.operators.route import is_http, route
+from flowvigil.operators.rule_versions import dated_rules
 from flowvigil.operators.rules import match_rules, rule_rows
 from flowvigil.operators.uri_flows import flow_messages, parse_flow_messages
 from flowvigil.plans.network import network_tables
@@ -197,6 +198,45 @@ def _http_rule_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matched.select(_event_id(), "ruleid")
 
 
+#: A version of a priority's rule begins so many seconds after the one before it.
+VERSION_STEP = 40_000
+VERSIONS_FROM = 1_704_067_200
+
+
+@query(
+    "http_rule_versions",
+    f"""
+with versions as (
+  select o_orderpriority as ruleid, cast(substr(o_orderpriority, 1, 1) as bigint) as rule_pos, count(*) as n,
+    {VERSIONS_FROM} + ((month(o_orderdate) - 1) * 5 + cast(substr(o_orderpriority, 1, 1) as bigint)) * {VERSION_STEP} as valid_from
+  from orders group by o_orderpriority, month(o_orderdate)),
+flows as (select event_id, epoch_s, event_id % 8 = 5 as item from fx_http where marker <> 'other' and not {sp.STATIC}),
+named as (select event_id, epoch_s, item, ruleid, rule_pos from flows, (select distinct ruleid, rule_pos from versions)),
+dated as (
+  select named.event_id, named.item, named.ruleid, named.rule_pos, n
+  from named asof left join versions on named.ruleid = versions.ruleid and named.epoch_s >= versions.valid_from)
+select event_id, arg_min(ruleid, rule_pos) filter (
+  item and n % 7 <> 0 and event_id % 10 in (n % 10, (n + 1) % 10)) as ruleid
+from dated group by event_id
+""",
+)
+def _http_rule_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each priority, which the orders of each month change or withdraw."""
+    priority = F.substring("o_orderpriority", 1, 1).cast("bigint")
+    counted = fx.table(spark, sf_dir, "orders").groupBy(
+        F.col("o_orderpriority").alias("ruleid"), priority.alias("rule_pos"), F.month("o_orderdate").alias("month")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    digits = [(F.col("n") + k) % 10 for k in (0, 1)]
+    pattern = F.concat(F.lit(r"/item\?id=[0-9]*["), *digits, F.lit("]&"))
+    versions = counted.select(
+        "ruleid", "rule_pos", F.lit("any").alias("sourceip"), F.lit("any").alias("destip"),
+        F.when(F.col("n") % 7 != 0, pattern).alias("rule_regular_expression"),
+        (((F.col("month") - 1) * 5 + F.col("rule_pos")) * VERSION_STEP + VERSIONS_FROM).alias("valid_from"),
+    )
+    matched = match_rules(http_flows(_http(spark, sf_dir)), dated_rules(versions))
+    return matched.select(_event_id(), "ruleid")
+
+
 @query(
     "http_rule_rows",
     f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks import sql_parts as sp
-from checks.models import SQL_LABEL, netflow_model, uri_model
+from checks.models import SQL_LABEL, netflow_model, union_model_path, uri_model, uri_model_path
 from checks.registry import query
 from checks.texts import SYSLOG_ROWS
 from flowvigil.operators.features import netflow_features
@@ -16,6 +16,7 @@ from flowvigil.operators.netflow_messages import json_messages
 from flowvigil.operators.route import is_http
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.uri_flows import flow_messages
+from flowvigil.plans.models import ModelFeed
 from flowvigil.session import work_folder
 from flowvigil.sources.patterns import VENDOR_PATTERNS
 from flowvigil.sources.sinks import DESTINATION, Target
@@ -27,7 +28,7 @@ from flowvigil.streaming.scoring import (
     start_window_scoring,
 )
 from flowvigil.streaming.syslog import start_syslog_etl
-from flowvigil.streaming.windows import windowed_features
+from flowvigil.streaming.windows import session_features, windowed_features
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +38,20 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _options(spark: SparkSession) -> StreamOptions:
-    return StreamOptions(work_folder(spark, "stream-checkpoint"), interval=None)
+def _options(spark: SparkSession, **changes) -> StreamOptions:
+    return StreamOptions(work_folder(spark, "stream-checkpoint"), interval=None, **changes)
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The events before the middle of their time, and the others."""
+    events = fx.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    middle = F.lit(ends["first"] + (ends["last"] - ends["first"]) / 2)
+    return events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)
+
+
+#: Where the halves part, in SQL: microseconds since the epoch.
+_MIDDLE = "(select epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 from events)"
 
 
 def _target(spark: SparkSession, purpose: str, *partition_by: str) -> Target:
@@ -103,7 +116,11 @@ def _stream_syslog(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.syslog_lines(event_stream(spark, sf_dir))
     rows = _target(spark, "syslog-rows")
     start_syslog_etl(
-        lines, VENDOR_PATTERNS, {"rows": rows}, _options(spark), now=fx.NOW
+        lines,
+        VENDOR_PATTERNS,
+        {"rows": rows},
+        _options(spark, partitions=spark.sparkContext.defaultParallelism),
+        now=fx.NOW,
     ).awaitTermination()
     return _written(spark, rows)
 
@@ -240,3 +257,137 @@ def _stream_window_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "srcip", "dstip", "proto", "attacktype", "spandtime", "flownum",
     )
+
+
+#: A pause in seconds that ends a session, and how late a record may come.
+PAUSE, LATE = 8 * 3600, 3600
+
+
+@query(
+    "stream_netflow_sessions",
+    f"""
+with placed as (
+  select *, lag(starttime) over conversation as before from fx_netflow
+  window conversation as (partition by srcip, dstip, proto order by starttime, event_id)),
+numbered as (
+  select *, count(*) filter (before is null or starttime - before > {PAUSE}) over (
+    partition by srcip, dstip, proto order by starttime, event_id rows unbounded preceding) as session
+  from placed),
+closed as (select max(starttime) - {LATE} as watermark from fx_netflow)
+select make_timestamp(min(starttime) * 1000000) as window_start,
+  make_timestamp((max(starttime) + {PAUSE}) * 1000000) as window_end, srcip, dstip, proto,
+  cast(sum(lasttime - starttime) as double) as spandtime,
+  cast(sum(uppkts + downpkts) as double) as packernum,
+  cast(sum(ups + downs) as double) as bytesize,
+  cast(count(distinct srcport) as double) as src_flow_port_num,
+  cast(count(distinct dstport) as double) as dst_flow_port_num,
+  case when proto in ('tcp', 'TCP') then 1.0e0 else 0.0e0 end as tcp,
+  case when proto in ('udp', 'UDP') then 1.0e0 else 0.0e0 end as udp,
+  cast(count(*) as double) as flownum
+from numbered group by srcip, dstip, proto, session
+having max(starttime) + {PAUSE} <= (select watermark from closed)
+""",
+)
+def _stream_netflow_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events, then, after a restart, the other half: sessions that are open in between go on."""
+    feed, target = work_folder(spark, "event-feed"), work_folder(spark, "sessions")
+    checkpoint = work_folder(spark, "stream-checkpoint")
+    for half in _halves(spark, sf_dir):
+        half.write.mode("append").parquet(feed)
+        source = spark.readStream.schema(half.schema).parquet(feed)
+        records = netflow_records(fx.netflow_lines(source))
+        timed = records.withColumn("event_time", F.timestamp_seconds("starttime"))
+        (
+            session_features(timed, "event_time", f"{PAUSE} seconds", f"{LATE} seconds")
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(target)
+            .awaitTermination()
+        )
+    written = spark.read.parquet(target)
+    bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return written.select(*bounds, *[c for c in written.columns if not c.startswith("window_")])
+
+
+def _flow_feed(spark: SparkSession, folder: str, events: DataFrame) -> DataFrame:
+    """Flow messages of the events that are in the folder, these added to them."""
+    events.write.mode("append").parquet(folder)
+    source = spark.readStream.schema(events.schema).parquet(folder)
+    return flow_messages(http_flows(fx.http_lines(source).where(is_http(F.col("value")))))
+
+
+@query(
+    "stream_alerts_once",
+    f"""
+select srcip, dstip, uri, count(*) as alerts, count(distinct md5({sp.HTTP_LINE})) as ids
+from fx_http where marker <> 'other' and label = 'sql' group by srcip, dstip, uri
+""",
+)
+def _stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the events comes twice in one batch, and once more with the others."""
+    first, second = _halves(spark, sf_dir)
+    feed, target = work_folder(spark, "event-feed"), _target(spark, "alerts-once")
+    options = _options(spark)
+    for part in (first.unionByName(first), first.unionByName(second)):
+        messages = _flow_feed(spark, feed, part)
+        start_uri_scoring(
+            messages, uri_model(spark, sf_dir), target, options, once_within="31 days"
+        ).awaitTermination()
+    return _written(spark, target).groupBy("srcip", "dstip", "uri").agg(
+        F.count(F.lit(1)).alias("alerts"), F.count_distinct("id").alias("ids")
+    )
+
+
+@query(
+    "stream_netflow_once",
+    f"""
+with groups as ({sp.features("fx_netflow", SQL_LABEL)})
+select label as attacktype, proto, count(*) as alerts, count(*) as ids,
+  cast(sum(flownum) as bigint) as flows
+from fx_netflow join (select * exclude (srcports, dstports) from groups) as g
+  using (srcip, proto, dstip, recordtime)
+where label <> 'normal' group by label, proto
+""",
+)
+def _stream_netflow_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event twice in one batch: records are counted and alerted once."""
+    events = fx.table(spark, sf_dir, "events")
+    feed, target = work_folder(spark, "event-feed"), _target(spark, "netflow-once")
+    events.unionByName(events).write.parquet(feed)
+    source = spark.readStream.schema(events.schema).parquet(feed)
+    messages = json_messages(netflow_records(fx.netflow_lines(source)))
+    start_netflow_scoring(
+        messages, netflow_model(spark, sf_dir), target, _options(spark), once_within="1 day"
+    ).awaitTermination()
+    return _written(spark, target).groupBy("attacktype", "proto").agg(
+        F.count(F.lit(1)).alias("alerts"),
+        F.count_distinct("recordid").alias("ids"),
+        F.sum("flownuma").alias("flows"),
+    )
+
+
+@query(
+    "stream_model_versions",
+    f"""
+with flows as (
+  select fx_http.*, epoch_us(ts) < {_MIDDLE} as early from fx_http join events using (event_id)
+  where marker <> 'other' and label = 'sql')
+select cast(case when early then 1 else 2 end as int) as model_version, srcip, uri, count(*) as alerts
+from flows where early or contains(uri, 'UNION') group by early, srcip, uri
+""",
+)
+def _stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Between the halves of the events a second version comes, which knows one kind of injection alone."""
+    versions, feed = work_folder(spark, "model-versions"), work_folder(spark, "event-feed")
+    target, options = _target(spark, "version-alerts"), _options(spark)
+    models = ModelFeed(lambda: spark.read.parquet(versions))
+    paths = (uri_model_path(spark, sf_dir), union_model_path(spark, sf_dir))
+    for version, (half, path) in enumerate(zip(_halves(spark, sf_dir), paths, strict=True), 1):
+        row = spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("location"))
+        row.write.mode("append").parquet(versions)
+        start_uri_scoring(_flow_feed(spark, feed, half), models, target, options).awaitTermination()
+    return _written(spark, target).groupBy("model_version", "srcip", "uri").agg(
+        F.count(F.lit(1)).alias("alerts")
+    )

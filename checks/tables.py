@@ -14,6 +14,7 @@ from flowvigil.operators.features import (
     netflow_features,
     recent_netflow_features,
 )
+from flowvigil.operators.http import FLOW_COLUMNS, TAG_COLUMNS
 from flowvigil.operators.netflow import netflow_records
 from flowvigil.operators.partials import PartialStore
 from flowvigil.operators.port_sets import merge_cells, port_cells, port_counts
@@ -28,6 +29,7 @@ from flowvigil.plans.network import network_tables
 from flowvigil.session import work_folder
 from flowvigil.sources.sinks import Target, document_target
 from flowvigil.sources.tables import flows_of, read_attack_csv, records_of
+from flowvigil.sources.variants import document_keys, variant_columns, variant_documents
 
 DAYS = 10
 SAMPLE_ROWS = 100
@@ -146,10 +148,12 @@ def _netflow_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return take_rows(features, SAMPLE_ROWS, GROUP_KEYS)
 
 
-def _attack_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _attack_csv(spark: SparkSession, sf_dir: str, infer: bool = False) -> DataFrame:
     folder = work_folder(spark, "attack-csv")
-    attacks(spark, sf_dir).write.option("header", True).csv(folder)
-    return read_attack_csv(spark, folder)
+    rows = attacks(spark, sf_dir)
+    rows.write.option("header", True).csv(folder)
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return read_attack_csv(spark, folder, None if infer else schema)
 
 
 _BY_LABEL = sp.attack_features("label", "srcip, proto, dstip, recordtime, label")
@@ -164,7 +168,7 @@ def _attack_csv_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("attack_csv_labelled", _AS_DOS)
 def _attack_csv_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = attack_features(_attack_csv(spark, sf_dir), "DOS", port_lists=False)
+    captured = attack_features(_attack_csv(spark, sf_dir, infer=True), "DOS", port_lists=False)
     return captured.withColumn("recordtime", F.col("recordtime").cast("bigint"))
 
 
@@ -266,6 +270,35 @@ def _attack_train_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attack_training_set(*tables, GROUP_KEYS)
 
 
+@query(
+    "attack_train_set_bounded",
+    f"""
+with placed as (
+  select *, row_number() over (
+    partition by label, proto order by bytesize desc, srcip desc, dstip desc, recordtime desc) as place
+  from ({_BY_LABEL})),
+attack as (select * exclude (place) from placed where place = 1),
+sizes as (select label, count(*) as n from attack group by label),
+copies as (select label, (select max(n) from sizes) // n as k from sizes),
+balanced as (
+  select attack.* from attack join copies on attack.label = copies.label,
+    lateral (select unnest(generate_series(1, k))) as repeated),
+normal as (
+  select * {PLAIN} from ({_FEATURES})
+  order by {KEY_HASH}, srcip, proto, dstip, recordtime
+  limit (select 5 * count(*) from balanced))
+select * from balanced union all by name select * from normal
+""",
+)
+def _attack_train_set_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest capture of each label and protocol: fewer attacks than a fifth of the normal rows."""
+    captured = attack_features(attacks(spark, sf_dir), port_lists=False)
+    order = F.struct("bytesize", "srcip", "dstip", "recordtime")
+    largest = captured.groupBy("label", "proto").agg(F.max_by(F.struct(*captured.columns), order).alias("row"))
+    normal = netflow_features(records(spark, sf_dir), port_lists=False)
+    return attack_training_set(largest.select("row.*"), normal, GROUP_KEYS)
+
+
 @query(
     "sample_split",
     f"""
@@ -320,3 +353,54 @@ def _stored_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("uri"), F.col("proto7").alias("detail"),
     )
     return flows.unionByName(found)
+
+
+#: Keys that are no text, and those that only some documents have.
+_KEY_TYPES = {"date": "BIGINT", "flowcontent": "OBJECT<Date: STRING, DstIp: STRING, Method: STRING, Seq: STRING, SrcIp: STRING, Uri: STRING>"}
+_NETFLOW_NUMBERS = ("downpkts", "downs", "lasttime", "recordtime", "starttime", "ups", "uppkts", "packernum")
+_NETFLOW_TEXTS = ("dstip", "dstport", "proto", "proto7", "recordid", "srcip", "srcport", "seq")
+
+
+def _key_counts() -> str:
+    """Counts of documents that have a key, for each key of each kind of document."""
+    flow = {key: _KEY_TYPES.get(key, "STRING") for key in (*FLOW_COLUMNS, *TAG_COLUMNS, "flowcontent", "seq")}
+    netflow = dict.fromkeys(_NETFLOW_NUMBERS, "BIGINT") | dict.fromkeys((*_NETFLOW_TEXTS, "es_type", "es_index"), "STRING")
+    of = {
+        "flow": (flow, "matched"),
+        "flowlogrule": (flow | {"ruleid": "STRING"}, "matched where ruleid is not null"),
+        "netflow": (netflow, "fx_netflow"),
+    }
+    some = {"uppkts": "uppkts", "packernum": "uppkts + downpkts"}
+    return " union all ".join(
+        f"select '{index}' as es_index, '{key}' as key, '{kind}' as type, count({some.get(key, '*')}) as n from {rows}"
+        for index, (keys, rows) in of.items()
+        for key, kind in sorted(keys.items())
+    )
+
+
+@query("stored_keys", f"with {sp.RULE_MATCH} {_key_counts()}")
+def _stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key of the stored documents, by the type of its value."""
+    return document_keys(variant_documents(_stored_documents(spark, sf_dir)), "es_index")
+
+
+@query(
+    "stored_variants",
+    f"""
+with {sp.RULE_MATCH}
+select 'flow' as es_index, event_id, srcip, dstip, epoch_s as at, uri, 'GET' as detail, null as packets from matched
+union all
+select 'netflow', event_id, srcip, dstip, starttime, null, 'http', uppkts + downpkts from fx_netflow
+""",
+)
+def _stored_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of two kinds of documents, read from variants."""
+    wanted = {
+        "seq": "bigint", "srcip": "string", "dstip": "string", "date": "bigint", "starttime": "bigint",
+        "uri": "string", "method": "string", "proto7": "string", "packernum": "bigint",
+    }
+    parsed = variant_documents(_stored_documents(spark, sf_dir)).where(F.col("es_index").isin("flow", "netflow"))
+    return parsed.select("es_index", *variant_columns(wanted)).select(
+        "es_index", F.col("seq").alias("event_id"), "srcip", "dstip", F.coalesce("date", "starttime").alias("at"), "uri",
+        F.coalesce("method", "proto7").alias("detail"), F.col("packernum").alias("packets"),
+    )

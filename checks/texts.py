@@ -18,6 +18,7 @@ from flowvigil.functions import (
     uri_words,
 )
 from flowvigil.functions.segments import WordCosts, word_counts
+from flowvigil.operators.embedding import pair_counts, positive_information
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.route import is_http
 from flowvigil.operators.syslog import (
@@ -278,3 +279,31 @@ from genlog
 @query("syslog_rows", SYSLOG_ROWS)
 def _syslog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syslog_rows(_lines(spark, sf_dir), _patterns(spark), now=fx.NOW)
+
+
+@query(
+    "word_information",
+    """
+with spelled as (select doc_id, regexp_extract_all(text, '[A-Za-z]+') as words from documents where text is not null),
+placed as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as place from spelled),
+moved as (select doc_id, word, place + unnest([-2, -1, 1, 2]) as place from placed),
+pairs as (
+  select placed.word, moved.word as context, count(*) as n
+  from placed join moved using (doc_id, place) group by placed.word, moved.word),
+sums as (select word, cast(sum(n) as double) as total from pairs group by word),
+whole as (select cast(sum(n) as double) as whole from pairs),
+weighed as (
+  select pairs.word, pairs.n, pairs.n * whole / (a.total * b.total) as lift
+  from pairs join sums as a on pairs.word = a.word join sums as b on pairs.context = b.word, whole)
+select word, count(*) as contexts, cast(sum(floor(1000 * ln(lift))) as bigint) as information
+from weighed where lift > 1 group by word
+""",
+)
+def _word_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of words at most two places apart in the documents, and what they say of each other."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    texts = fx.table(spark, sf_dir, "documents").select(words.alias("words"))
+    weights = positive_information(pair_counts(texts, "words", 2))
+    return weights.groupBy("word").agg(
+        F.count(F.lit(1)).alias("contexts"), F.sum(F.floor(F.col("weight") * 1000)).alias("information")
+    )

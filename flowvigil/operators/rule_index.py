@@ -74,7 +74,7 @@ def text_grams(text: Column) -> Column:
 
 
 class RuleIndex:
-    """Rules (``ruleid``, ``pattern``) in order of priority, filed by their literals.
+    """Rules (``pattern``, ``since``, ``until``) in order of priority, filed by their literals.
 
     ``wanted`` gives the address a rule asks for, or None where it takes any.
     """
@@ -93,19 +93,36 @@ class RuleIndex:
                 {
                     "gram": gram, "place": place, "literal": literal, "pattern": rule.pattern,
                     "source": source(rule), "target": target(rule),
+                    "since": rule.since, "until": rule.until,
                 }
             )
         self._table = HashedTable(
-            "gram:string,place:int,literal:string,pattern:string,source:string,target:string", rows, "gram"
+            "gram:string,place:int,literal:string,pattern:string,source:string,target:string,"
+            "since:bigint,until:bigint",
+            rows,
+            "gram",
         )
         self.filed = len(rows)
 
-    def first_place(self, text: Column, srcip: Column, dstip: Column) -> Column:
-        """The place of the first filed rule that the text and the addresses hit, or null."""
+    def first_place(
+        self, text: Column, srcip: Column, dstip: Column, time: Column | None = None
+    ) -> Column:
+        """The place of the first filed rule that the text and the addresses hit, or null.
+
+        With ``time`` only rules valid then are tried.
+        """
+
+        def valid(rule: Column) -> Column:
+            if time is None:
+                return F.lit(True)
+            begun = rule["since"].isNull() | (time >= rule["since"])
+            return begun & (rule["until"].isNull() | (time < rule["until"]))
+
         found = F.flatten(F.transform(text_grams(text), self._table.rows_of))
         hits = F.filter(
             found,
-            lambda rule: F.contains(text, rule["literal"])
+            lambda rule: valid(rule)
+            & F.contains(text, rule["literal"])
             & (rule["source"].isNull() | (srcip == rule["source"]))
             & (rule["target"].isNull() | (dstip == rule["target"]))
             & F.regexp_like(text, rule["pattern"]),

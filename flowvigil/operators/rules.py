@@ -27,22 +27,30 @@ ESCAPED_DOT = "\\."
 
 @dataclass(frozen=True)
 class Rule:
+    """``since`` and ``until`` are epoch seconds, the end not included; None is open."""
+
     ruleid: str
     sourceip: str
     destip: str
     pattern: str
+    since: int | None = None
+    until: int | None = None
 
 
 def rules_in_order(rules: DataFrame, order: str = "rule_pos") -> Iterator[Rule]:
     """Rules by priority, fetched one partition at a time.
 
-    A rule with a missing value is an error of the rule table and stops here.
+    A rule with a missing value is an error of the rule table and stops here. The
+    columns ``valid_from`` and ``valid_to`` may be absent, and null in any row.
     """
     columns = ("ruleid", "sourceip", "destip", "rule_regular_expression")
-    for row in rules.orderBy(order).select(*columns).toLocalIterator():
-        if None in tuple(row):
+    bounds = [name for name in ("valid_from", "valid_to") if name in rules.columns]
+    for row in rules.orderBy(order, *bounds).select(*columns, *bounds).toLocalIterator():
+        needed = [row[column] for column in columns]
+        if None in needed:
             raise ValueError(f"rule with a missing value: {row}")
-        yield Rule(*(str(row[column]) for column in columns))
+        since, until = (row[name] if name in bounds else None for name in ("valid_from", "valid_to"))
+        yield Rule(*map(str, needed), since, until)
 
 
 def _compiles(spark: SparkSession, patterns: Sequence[str]) -> bool:
@@ -106,6 +114,8 @@ def _address_test(address: str, wanted: str, ip_match: str) -> str | None:
 
 def _hit(rule: Rule, ip_match: str) -> str:
     tests = [
+        None if rule.since is None else f"_time >= {rule.since}L",
+        None if rule.until is None else f"_time < {rule.until}L",
         _address_test("srcip", rule.sourceip, ip_match),
         _address_test("dstip", rule.destip, ip_match),
         f"_decoded rlike {_sql_text(rule.pattern)}",
@@ -125,7 +135,7 @@ def _first_hit(rules: Sequence[Rule], places: Sequence[int], ip_match: str) -> C
     return F.expr(f"coalesce({', '.join(cases)})") if cases else F.lit(None).cast("int")
 
 
-def _hit_place(rules: Sequence[Rule], ip_match: str, index_from: int) -> Column:
+def _hit_place(rules: Sequence[Rule], ip_match: str, index_from: int, dated: bool) -> Column:
     if len(rules) < index_from:
         return _first_hit(rules, range(len(rules)), ip_match)
     index = RuleIndex(
@@ -133,7 +143,8 @@ def _hit_place(rules: Sequence[Rule], ip_match: str, index_from: int) -> Column:
         source=lambda rule: _wanted_address(rule.sourceip, ip_match),
         target=lambda rule: _wanted_address(rule.destip, ip_match),
     )
-    filed = index.first_place(F.col("_decoded"), F.col("srcip"), F.col("dstip"))
+    time = F.col("_time") if dated else None
+    filed = index.first_place(F.col("_decoded"), F.col("srcip"), F.col("dstip"), time)
     return F.least(filed, _first_hit(rules, index.unfiled, ip_match))
 
 
@@ -145,6 +156,7 @@ def match_rules(
     order: str = "rule_pos",
     uri: Column | None = None,
     index_from: int = INDEX_FROM,
+    time: Column | None = None,
 ) -> DataFrame:
     """Add ``ruleid`` of the first rule the flow hits, else null.
 
@@ -155,14 +167,22 @@ def match_rules(
     ``uri`` is the address that is matched, by default the column; pass
     ``flowcontent['Uri']`` to match flows only whose key is written in exactly
     this way.
+
+    Rules with a validity (see :mod:`flowvigil.operators.rule_versions`) hit only
+    flows of that time, by default the epoch seconds in ``date``; a flow without a
+    time is hit by no rule that has a bound.
     """
     resolved = resolve_rules(rules, on_bad_rule, order) if isinstance(rules, DataFrame) else rules
     decoded = uri_decode(F.col("uri") if uri is None else uri)
     matched = once(flows, "_decoded", decoded)
-    placed = once(matched, "_place", _hit_place(resolved, ip_match, index_from))
+    dated = any(rule.since is not None or rule.until is not None for rule in resolved)
+    if dated:
+        seconds = F.col("date") if time is None else time
+        matched = matched.withColumn("_time", seconds.cast("bigint"))
+    placed = once(matched, "_place", _hit_place(resolved, ip_match, index_from, dated))
     names = F.from_json(F.lit(json.dumps([rule.ruleid for rule in resolved])), "array<string>")
     ruleid = F.when(F.col("_place").isNotNull(), F.element_at(names, F.col("_place") + F.lit(1)))
-    return placed.withColumn("ruleid", ruleid).drop("_decoded", "_place")
+    return placed.withColumn("ruleid", ruleid).drop("_decoded", "_time", "_place")
 
 
 def rule_rows(matched: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DESTINATION = ("es_index", "es_type")
@@ -14,15 +15,27 @@ DESTINATION = ("es_index", "es_type")
 STREAM_ID = "sql.streaming.queryId"
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    try:
+        spark.read.schema("id bigint").parquet(folder)
+    except AnalysisException:
+        return False
+    return True
+
+
 @dataclass(frozen=True)
 class Target:
-    """A table to write: a format, its options, and a location unless options name it."""
+    """A table to write: a format, its options, and a location unless options name it.
+
+    ``ledger`` is a shared folder of marks for targets that can only append.
+    """
 
     format: str = "parquet"
     location: str | None = None
     mode: str = "append"
     options: Mapping[str, Any] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    ledger: str | None = None
 
     def write(self, df: DataFrame) -> None:
         writer = df.write.format(self.format).mode(self.mode).options(**self.options)
@@ -35,18 +48,27 @@ class Target:
 
         File targets get a folder per stream and batch; a stream with a new
         checkpoint, or another stream, is another folder. Any other format is
-        appended to, with the stream and the batch as columns, so that a reader
-        or the database can tell the rows of a retry.
+        appended to, with the stream and the batch as columns (a Kafka topic has
+        no columns to spare). With a ``ledger`` a batch leaves a mark there once
+        it is written, and one that has a mark is not written again: what a retry
+        can still repeat is a batch that was lost between its rows and its mark.
         """
-        stream = df.sparkSession.sparkContext.getLocalProperty(STREAM_ID) or "batch"
-        if self.location is None:
-            if self.format == "kafka":
-                self.write(df)
-                return
-            self.write(df.withColumns({"stream_id": F.lit(stream), "batch_id": F.lit(batch_id)}))
+        spark = df.sparkSession
+        stream = spark.sparkContext.getLocalProperty(STREAM_ID) or "batch"
+        part = f"stream_id={stream}/batch_id={batch_id}"
+        if self.location is not None:
+            folder = f"{self.location.rstrip('/')}/{part}"
+            Target(self.format, folder, "overwrite", self.options, self.partition_by).write(df)
+            return
+        mark = None if self.ledger is None else f"{self.ledger.rstrip('/')}/{part}"
+        if mark is not None and _exists(spark, mark):
             return
-        folder = f"{self.location.rstrip('/')}/stream_id={stream}/batch_id={batch_id}"
-        Target(self.format, folder, "overwrite", self.options, self.partition_by).write(df)
+        if self.format == "kafka":
+            self.write(df)
+        else:
+            self.write(df.withColumns({"stream_id": F.lit(stream), "batch_id": F.lit(batch_id)}))
+        if mark is not None:
+            spark.range(1).write.mode("overwrite").parquet(mark)
 
 
 def jdbc_target(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowvigil.operators.deadletter import parse_network
+from flowvigil.operators.rule_versions import RuleFeed
 from flowvigil.operators.rules import resolve_rules
 from flowvigil.plans.network import tables_of
 from flowvigil.sources.sinks import Target
@@ -21,22 +22,24 @@ log = logging.getLogger(__name__)
 
 def start_network_etl(
     lines: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | RuleFeed,
     targets: Mapping[str, Target],
     options: StreamOptions,
     strict: bool = False,
 ) -> StreamingQuery:
     """``targets`` by output: documents, flow_messages, netflow_messages, letters.
 
-    The rules are resolved once, before the first batch.
+    A table of rules is resolved once, before the first batch; a feed is asked for
+    its rules at each batch.
     """
-    resolved = resolve_rules(rules)
+    feed = rules if isinstance(rules, RuleFeed) else None
+    fixed = resolve_rules(rules) if feed is None else []
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"network-{batch_id}")
         counted = batch.observe(seen, F.count(F.lit(1)).alias("lines"))
         with stored(parse_network(counted)) as (kept,):
-            tables = tables_of(kept, resolved, strict=strict)
+            tables = tables_of(kept, fixed if feed is None else feed(), strict=strict)
             with stored(tables.flows, tables.records) as (flows, records):
                 tables = replace(tables, flows=flows, records=records)
                 outputs = {

@@ -15,11 +15,14 @@ from flowvigil.sources.sinks import Target
 @dataclass(frozen=True)
 class StreamOptions:
     """``checkpoint`` keeps the offsets on a shared file system: a batch that
-    fails is run again. ``interval`` None takes what there is and stops."""
+    fails is run again. ``interval`` None takes what there is and stops.
+    ``partitions`` deals each batch to so many tasks, for input in fewer pieces
+    than there are cores; None leaves a batch as it comes."""
 
     checkpoint: str
     interval: str | None = "10 seconds"
     name: str | None = None
+    partitions: int | None = None
 
     def start(
         self, stream: DataFrame, each_batch: Callable[[DataFrame, int], None]
@@ -31,7 +34,14 @@ class StreamOptions:
             writer = writer.trigger(availableNow=True)
         else:
             writer = writer.trigger(processingTime=self.interval)
-        return writer.foreachBatch(each_batch).start()
+        return writer.foreachBatch(self._dealt(each_batch)).start()
+
+    def _dealt(
+        self, each_batch: Callable[[DataFrame, int], None]
+    ) -> Callable[[DataFrame, int], None]:
+        if self.partitions is None:
+            return each_batch
+        return lambda batch, batch_id: each_batch(batch.repartition(self.partitions), batch_id)
 
 
 class stored:  # noqa: N801

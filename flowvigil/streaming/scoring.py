@@ -14,22 +14,53 @@ from flowvigil.operators.deadletter import dead_letters
 from flowvigil.operators.features import netflow_features
 from flowvigil.operators.netflow_messages import json_message_errors, parse_json_messages
 from flowvigil.operators.uri_flows import parse_flow_messages
+from flowvigil.plans.models import ModelFeed
 from flowvigil.sources.sinks import Target
 from flowvigil.streaming.run import StreamOptions, stored
-from flowvigil.streaming.windows import windowed_features
+from flowvigil.streaming.windows import session_features, windowed_features
+
+
+def seen_once(rows: DataFrame, ids: Sequence[str], event_time: str, within: str) -> DataFrame:
+    """The first row of each id. Ids are forgotten ``within`` after they were seen,
+    by event time; rows later than that, or without a time, are left out."""
+    return rows.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(ids))
 
 
 def start_uri_scoring(
     messages: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | ModelFeed,
     target: Target,
     options: StreamOptions,
     lexicon: Sequence[str] = (),
+    once_within: str | None = None,
 ) -> StreamingQuery:
-    """Flow messages to injection alerts. Scoring is part of the stream itself."""
-    scored = model.transform(parse_flow_messages(messages, lexicon=lexicon))
-    alerts = injection_alerts(scored)
-    return options.start(alerts, target.write_batch)
+    """Flow messages to injection alerts. Scoring is part of the stream itself.
+
+    With ``once_within`` a message that comes again within that time, be it in
+    another batch or after a restart, gives no second alert: messages of one id
+    are one (:func:`seen_once`).
+
+    A feed of models is asked for the newest version at each batch, and the alerts
+    carry it as ``model_version``. A batch that is run again may find a newer one;
+    file targets then hold that version's alerts alone.
+    """
+    flows = parse_flow_messages(messages, lexicon=lexicon)
+    if once_within is not None:
+        timed = flows.withColumn("_seen", F.timestamp_seconds("date"))
+        flows = seen_once(timed, ["id"], "_seen", once_within).drop("_seen")
+    if not isinstance(model, ModelFeed):
+        return options.start(injection_alerts(model.transform(flows)), target.write_batch)
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        version, newest = model()
+        alerts = injection_alerts(newest.transform(batch))
+        target.write_batch(alerts.withColumn("model_version", F.lit(version)), batch_id)
+
+    return options.start(flows, each_batch)
+
+
+def _as_they_are(records: DataFrame) -> DataFrame:
+    return records
 
 
 def start_netflow_scoring(
@@ -39,13 +70,24 @@ def start_netflow_scoring(
     options: StreamOptions,
     parse: Callable[[DataFrame], DataFrame] = parse_json_messages,
     letters: Target | None = None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Netflow messages to one alert per record of an attack conversation.
 
     Conversations are grouped within a micro-batch; see
     :func:`start_window_scoring` for groups across batches. JSON messages that do
     not parse go to ``letters``, if there is such a target.
+
+    With ``once_within`` a record that comes again within that time is neither
+    counted nor alerted again (:func:`seen_once`, by ``recordid`` and
+    ``starttime``). Dead letters have no id: they need a stream of their own then.
     """
+    if once_within is not None:
+        if letters is not None:
+            raise ValueError("give letters to a stream of their own, without once_within")
+        timed = parse(messages).withColumn("_seen", F.timestamp_seconds("starttime"))
+        messages = seen_once(timed, ["recordid"], "_seen", once_within).drop("_seen")
+        parse = _as_they_are
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         if letters is not None:
@@ -66,14 +108,17 @@ def start_window_scoring(
     delay: str,
     event_time: str = "starttime",
     parse: Callable[[DataFrame], DataFrame] = parse_json_messages,
+    sessions: bool = False,
 ) -> StreamingQuery:
     """Netflow messages to one alert per attack conversation and window.
 
     Conversations are grouped over batches, by event time; a window is scored
-    when the watermark has passed it. Scoring is part of the stream itself.
+    when the watermark has passed it. Scoring is part of the stream itself. With
+    ``sessions`` a window lasts until the conversation has paused for ``width``.
     """
     records = parse(messages).withColumn("event_time", F.timestamp_seconds(event_time))
-    scored = model.transform(windowed_features(records, "event_time", width, delay))
+    grouped = session_features if sessions else windowed_features
+    scored = model.transform(grouped(records, "event_time", width, delay))
     alerts = scored.where(F.col("predictedLabel") != NORMAL).select(
         "window_start", "window_end", "srcip", "dstip", "proto",
         F.col("predictedLabel").alias("attacktype"),

@@ -76,3 +76,54 @@ def test_text_model_and_alerts(spark):
         "predictedLabelLR", F.lit("sql")
     )
     assert injection_alerts(by_regression).count() == 60
+
+
+def test_a_feed_of_models(spark):
+    from flowvigil.plans.models import ModelFeed
+
+    model = train_netflow_model(conversations(spark), NetflowModelSettings(trees=2, training_partitions=1))
+    paths = [work_folder(spark, "model") for _ in range(2)]
+    for path in paths:
+        save_model(model, path)
+    table = [(1, paths[0]), (None, "none"), (7, None)]
+    feed = ModelFeed(lambda: spark.createDataFrame(table, "version int, location string"))
+    first = feed()
+    assert first[0] == 1 and feed()[1] is first[1]
+    table.append((2, paths[1]))
+    second = feed()
+    assert second[0] == 2 and second[1] is not first[1]
+    table.clear()
+    with pytest.raises(ValueError, match="empty"):
+        feed()
+
+
+def test_the_regression_is_the_optimum(spark):
+    """Beside Newton's method on the same vectors: label by label and in probability."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    texts = [("sql" if k % 3 == 0 else "normal", f"w{k % 5} {'select' if k % 7 < 3 + k % 3 else 'page'} w{k % 4}") for k in range(240)]
+    rows = spark.createDataFrame(texts, "label string, uri string")
+    settings = TextModelSettings(
+        vector_size=4, embedding_iterations=1, embedding_partitions=1, trees=2, max_categories=2,
+        regression_iterations=500, regularization=0.01, elastic_net=0.0,
+    )
+    scored = train_text_model(rows, settings).transform(rows).select(
+        "indexedLabel", "predictionLR", vector_to_array("indexedFeatures").alias("x"), vector_to_array("probabilityLR").alias("p")
+    ).collect()
+    x, y = np.array([r.x for r in scored]), np.array([r.indexedLabel for r in scored])
+    # The penalty is on weights of columns with unit deviation; the intercept has none.
+    z = np.column_stack([x / x.std(axis=0, ddof=1), np.ones(len(x))])
+    penalty = np.diag([settings.regularization] * x.shape[1] + [0.0])
+    w = np.zeros(z.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-z @ w))
+        slope = z.T @ (p - y) / len(y) + penalty @ w
+        curve = (z * (p * (1 - p))[:, None]).T @ z / len(y) + penalty
+        w -= np.linalg.solve(curve, slope)
+    p = 1 / (1 + np.exp(-z @ w))
+    ours = np.array([r.p[1] for r in scored])
+    assert np.abs(ours - p).max() < 1e-3
+    clear = np.abs(p - 0.5) > 2e-3
+    assert ((p > 0.5) == np.array([r.predictionLR for r in scored]))[clear].all()
+    assert clear.mean() > 0.5

@@ -223,3 +223,119 @@ def test_work_folder_of_a_cluster_must_be_named(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         work_folder(Cluster, "x")
+
+
+def test_a_ledger_keeps_append_targets_from_repeating(spark):
+    written = []
+
+    class Recording(Target):
+        def write(self, df):
+            if not written or written[-1] != "fail":
+                written.append((df.columns, df.count()))
+            else:
+                written.pop()
+                raise RuntimeError("lost")
+
+    for fmt, extra in (("jdbc", ["stream_id", "batch_id"]), ("kafka", [])):
+        written.clear()
+        target = Recording(fmt, ledger=work_folder(spark, "ledger"))
+        target.write_batch(spark.range(2), 0)
+        target.write_batch(spark.range(2), 0)
+        written.append("fail")
+        with pytest.raises(RuntimeError):
+            target.write_batch(spark.range(3), 1)
+        target.write_batch(spark.range(3), 1)
+        target.write_batch(spark.range(3), 1)
+        assert written == [(["id", *extra], 2), (["id", *extra], 3)]
+
+
+def test_batches_are_dealt(spark, feed):
+    seen = []
+    dealt = options(spark, partitions=5)
+    dealt.start(feed([str(n) for n in range(50)]), lambda b, _: seen.append(b.rdd.getNumPartitions())).awaitTermination()
+    assert seen == [5]
+
+
+def test_rules_change_under_a_stream(spark, feed):
+    from flowvigil.operators.rule_versions import RuleFeed
+
+    schema = "rule_pos int, ruleid string, sourceip string, destip string, rule_regular_expression string"
+    tables = iter([rows(spark, [(0, name, "any", "any", "n=")], schema) for name in ("old", "new")])
+    target = Target("parquet", work_folder(spark, "documents"))
+    lines = [[f'netlog_http {{"Uri":"/a?n={n}"}}'] for n in range(2)]
+    start_network_etl(feed(*lines), RuleFeed(lambda: next(tables)), {"documents": target}, options(spark)).awaitTermination()
+    stored = spark.read.parquet(target.location).collect()
+    found = [json.loads(r.document) for r in stored]
+    assert {(one["uri"], one["ruleid"]) for one in found if "ruleid" in one} == {("/a?n=0", "old"), ("/a?n=1", "new")}
+
+
+RECORD = 'send a message: [[{{"srcip":"s","dstip":"d","proto":"tcp","starttime":{at},"lasttime":{at},"srcport":{port}}}]]'
+
+
+def test_sessions_go_on_over_batches(spark, feed):
+    from pyspark.sql import functions as F
+
+    from flowvigil.streaming.windows import session_features
+
+    at = [0, 60, 121, 100, 400, 460, 5000]
+    batches = [[RECORD.format(at=t, port=t % 3)] for t in at]
+    batches.insert(2, ['send a message: [[{"srcip":"s","dstip":"d","proto":"tcp"}]]'])
+    records = netflow_records(feed(*batches)).withColumn("t", F.timestamp_seconds("starttime"))
+    target = work_folder(spark, "sessions")
+    session_features(records, "t", "60 seconds", "10 minutes").writeStream.format("parquet").option(
+        "checkpointLocation", work_folder(spark, "checkpoint")
+    ).trigger(availableNow=True).start(target).awaitTermination()
+    found = spark.read.parquet(target).select(
+        F.unix_seconds("window_start"), F.unix_seconds("window_end"), "flownum", "src_flow_port_num"
+    )
+    # 100 comes after 121 and bridges 60 and 121; a pause of the whole gap still joins.
+    assert sorted(map(tuple, found.collect())) == [(0, 181, 4.0, 2.0), (400, 520, 2.0, 1.0)]
+
+
+def test_messages_that_come_again(spark, feed):
+    from pyspark.sql import functions as F
+
+    from flowvigil.streaming.scoring import seen_once
+
+    stream = feed(["1 a", "1 a", "2 b"], ["1 a", "3 c"], ["9000 d", "2 b"], ["1 a", "9000 e"])
+    at = F.timestamp_seconds(F.split("value", " ")[0].cast("bigint"))
+    found = seen_once(stream.withColumn("at", at), ["value"], "at", "1 hour")
+    target = Target("parquet", work_folder(spark, "seen"))
+    options(spark).start(found, target.write_batch).awaitTermination()
+    texts = sorted(r.value for r in spark.read.parquet(target.location).collect())
+    assert texts == ["1 a", "2 b", "3 c", "9000 d", "9000 e"]
+
+
+def test_once_and_letters_exclude_each_other(spark, feed):
+    from flowvigil.streaming.scoring import start_netflow_scoring
+
+    with pytest.raises(ValueError, match="stream of their own"):
+        start_netflow_scoring(feed(["{}"]), None, None, options(spark), letters=Target(), once_within="1 hour")
+
+
+def test_variants(spark):
+    from flowvigil.sources.variants import document_keys, document_schema, variant_columns, variant_documents, variant_path
+
+    texts = ['{"a": 1, "b.c": "x", "n": null}', '{"a": "1", "b\'d": [2]}', "{", None, "[1]", '{"a": 2.5, "a b": true}']
+    table = rows(spark, [("t", text) for text in texts], "kind string, document string")
+    docs = variant_documents(table)
+    columns = variant_columns({"a": "int", "b.c": "string", "b'd": "array<int>", "a b": "boolean"})
+    found = docs.select(*columns).collect()
+    assert [tuple(r) for r in found] == [
+        (1, "x", None, None), (1, None, [2], None), (None,) * 4, (None,) * 4, (None,) * 4, (2, None, None, True)
+    ]
+    keys = {(r.key, r.type): r.n for r in document_keys(docs, "kind").collect()}
+    assert keys == {
+        ("a", "BIGINT"): 1, ("a", "STRING"): 1, ("a", "DECIMAL(2,1)"): 1, ("b.c", "STRING"): 1, ("n", "VOID"): 1,
+        ("b'd", "ARRAY<BIGINT>"): 1, ("a b", "BOOLEAN"): 1,
+    }
+    objects = docs.where(document_is_object())
+    assert "a: VARIANT" in document_schema(objects, "kind").first()["schema"]
+    with pytest.raises(ValueError, match="both quotation marks"):
+        variant_path("\"'")
+
+
+def document_is_object():
+    from pyspark.sql import functions as F
+
+    return F.schema_of_variant("doc").startswith("OBJECT")

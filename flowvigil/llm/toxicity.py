@@ -7,6 +7,12 @@ of people, each term is swapped for another of its kind, and the squared change
 of the score is added. What a sentence says about a group then counts, which
 group it is does not, and a neutral mention costs nothing.
 
+The terms are a parameter, a list of kinds by default. To them come pairs found in
+the labelled rows themselves: words that stand about as often under either label
+and among the same neighbours, so that a corpus in any language, or one that names
+other groups than the list, has sentences to swap in. A word that tells the labels
+apart is never taken for a term.
+
 The fit uses a bounded sample (``per_label`` rows of each label) whose features
 are computed by Spark, and weighs both labels alike, so that 0.5 is where they
 part. Scoring reads every whole text once, in its own task, and
@@ -21,7 +27,7 @@ the share of toxic labels, or near 0 without any. Other columns are untouched.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,14 +39,18 @@ from pyspark.sql import types as T
 
 from flowvigil.llm import tokens as tk
 from flowvigil.llm.sampling_rows import bounded_sample
+from flowvigil.llm.store import stored
 
 #: Hashed features.
 BUCKET_BITS = 20
 PREFIXES = (4, 5, 6)
 GRAM = 4
-#: Features that the fit looks at, those that tell the labels apart best.
-SCREENED = 20_000
-MIN_DOCUMENTS = 3
+#: Rows of each label that a word must stand in to be taken for a term, the share of
+#: all rows it may stand in (beyond it are words of grammar), and how far its shares
+#: under the labels may differ.
+TERM_ROWS = 3
+TERM_SHARE = 0.2
+TERM_BALANCE = 1.5
 
 #: Terms for groups of people that stand for one another, by kind.
 IDENTITY_TERMS = (
@@ -66,8 +76,6 @@ IDENTITY_TERMS = (
     ("mujeres", "hombres"),
     ("cristianos", "musulmanes", "judíos"),
 )
-_SWAP = {term: kind[(k + 1) % len(kind)] for kind in IDENTITY_TERMS for k, term in enumerate(kind)}
-_TERM = re.compile(r"\b(?:" + "|".join(sorted(_SWAP, key=len, reverse=True)) + r")\b")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
@@ -124,15 +132,85 @@ def _set_of(text: str) -> np.ndarray:
     return np.unique(_features(data, np.array([0, len(data)]))[1])
 
 
-def counterfactuals(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each sentence that names a group: features that a swap of terms adds and removes."""
+class Swaps:
+    """Each term and the next one of its kind, round in a circle; the first kind of a term counts."""
+
+    def __init__(self, kinds: Sequence[Sequence[str]] = IDENTITY_TERMS) -> None:
+        self.next: dict[str, str] = {}
+        for kind in kinds:
+            for k, term in enumerate(kind):
+                self.next.setdefault(term, kind[(k + 1) % len(kind)])
+
+    def __bool__(self) -> bool:
+        return bool(self.next)
+
+    def pattern(self) -> re.Pattern:
+        return re.compile(r"\b(?:" + "|".join(map(re.escape, sorted(self.next, key=len, reverse=True))) + r")\b")
+
+
+def counterfactuals(text: str, swaps: Swaps, term: re.Pattern) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each sentence that holds a term: features that a swap of terms adds and removes."""
     for sentence in _SENTENCE.findall(text.lower()):
-        if _TERM.search(sentence):
+        if term.search(sentence):
             before = _set_of(sentence)
-            after = _set_of(_TERM.sub(lambda match: _SWAP[match[0]], sentence))
+            after = _set_of(term.sub(lambda match: swaps.next[match[0]], sentence))
             yield np.setdiff1d(after, before), np.setdiff1d(before, after)
 
 
+def _shares(rows: DataFrame, words: str) -> DataFrame:
+    """``word, n0, n1``: rows of each label that hold a word."""
+    held = rows.select("label", F.explode(F.array_distinct(words)).alias("word"))
+    return held.groupBy("word").agg(
+        *[F.count(F.when(F.col("label") == label, True)).alias(f"n{label}") for label in (0, 1)]
+    )
+
+
+def found_pairs(rows: DataFrame, known: Sequence[str] = (), most: int = 64) -> list[tuple[str, str]]:
+    """Pairs of words of the labelled rows (``label, text``) that stand for one another.
+
+    At most ``most`` words, those that are most frequent under the label that has
+    them less often; the two words with the most similar neighbours (cosine of the
+    logarithms of counts) are the first pair, and so on. Only counts of these words
+    reach the driver. Ties go by the words.
+    """
+    spelled = rows.select(
+        "label", F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}{3,}"), F.lit(0)).alias("words")
+    )
+    size = {row["label"]: row["count"] for row in spelled.groupBy("label").count().collect()}
+    if most < 2 or not size.get(0) or not size.get(1):
+        return []
+    share = [F.col(f"n{label}") / size[label] for label in (0, 1)]
+    both = _shares(spelled, "words").where(
+        (F.least("n0", "n1") >= TERM_ROWS)
+        & (F.greatest(*share) <= F.least(*share) * TERM_BALANCE)
+        & (F.col("n0") + F.col("n1") <= TERM_SHARE * (size[0] + size[1]))
+        & ~F.col("word").isin(list(known))
+    )
+    chosen = [row["word"] for row in both.orderBy(F.desc(F.least(*share)), "word").limit(most).select("word").collect()]
+    before = F.concat(F.array(F.lit(None).cast("string")), "words").alias("before")
+    after = F.slice("words", F.lit(2), F.size("words")).alias("after")
+    placed = spelled.select(F.inline(F.arrays_zip(before, F.col("words").alias("word"), after)))
+    sides = [F.struct(F.lit(side).alias("side"), F.col(side).alias("other")) for side in ("before", "after")]
+    beside = (
+        placed.where(F.col("word").isin(chosen)).select("word", F.inline(F.array(*sides))).where("other is not null")
+    )
+    weights = beside.groupBy("word", "side", "other").agg(F.log1p(F.count(F.lit(1))).alias("weight"))
+    norms = {row["word"]: row["norm"] for row in weights.groupBy("word").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm")).collect()}
+    # At most ``most`` words share a neighbour.
+    second = weights.select(F.col("word").alias("second"), "side", "other", F.col("weight").alias("weight2"))
+    shared = (
+        weights.join(second, ["side", "other"]).where("word < second")
+        .groupBy("word", "second").agg(F.sum(F.col("weight") * F.col("weight2")).alias("dot")).collect()
+    )
+    alike = [(-round(row["dot"] / (norms[row["word"]] * norms[row["second"]]), 9), row["word"], row["second"]) for row in shared]
+    pairs, taken = [], set()
+    for _, one, other in sorted(alike):
+        if one not in taken and other not in taken:
+            pairs.append((one, other))
+            taken |= {one, other}
+    return pairs
+
+
 _EXAMPLE = T.StructType(
     [
         T.StructField("label", T.IntegerType()),
@@ -142,10 +220,11 @@ _EXAMPLE = T.StructType(
 )
 
 
-def _examples(rows: DataFrame) -> DataFrame:
+def _examples(rows: DataFrame, swaps: Swaps) -> DataFrame:
     """``label, text`` to feature sets; pairs for the penalty have a null label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        term = swaps.pattern()
         for batch in batches:
             label, plus, minus = [], [], []
             for at, to, data, offsets in tk.slices(pc.utf8_lower(batch.column(1))):
@@ -154,8 +233,8 @@ def _examples(rows: DataFrame) -> DataFrame:
                 label += batch.column(0)[at:to].to_pylist()
                 plus += [number[edges[k] : edges[k + 1]] for k in range(to - at)]
                 minus += [number[:0]] * (to - at)
-            for text in batch.column(1).to_pylist():
-                for added, removed in counterfactuals(text or ""):
+            for text in batch.column(1).to_pylist() if swaps else []:
+                for added, removed in counterfactuals(text or "", swaps, term):
                     label.append(None)
                     plus.append(added)
                     minus.append(removed)
@@ -184,7 +263,7 @@ class _Rows:
         return np.bincount(self.column, values[self.row], width)
 
 
-def _screen(rows: list[np.ndarray], label: np.ndarray) -> np.ndarray:
+def _screen(rows: list[np.ndarray], label: np.ndarray, screened: int, min_documents: int) -> np.ndarray:
     """Features whose share of documents differs most between the labels, in order."""
     size = 1 << BUCKET_BITS
     each = [
@@ -194,8 +273,8 @@ def _screen(rows: list[np.ndarray], label: np.ndarray) -> np.ndarray:
     n = [(label == v).sum() for v in (0, 1)]
     pooled = (each[0] + each[1] + 1.0) / (n[0] + n[1] + 2.0)
     score = np.abs(each[1] / n[1] - each[0] / n[0]) / np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
-    score[(each[0] + each[1]) < MIN_DOCUMENTS] = 0
-    best = np.argsort(-score, kind="stable")[:SCREENED]
+    score[(each[0] + each[1]) < min_documents] = 0
+    best = np.argsort(-score, kind="stable")[:screened]
     return np.sort(best[score[best] > 1.0])
 
 
@@ -208,8 +287,14 @@ def fit(
     l1: float = 1e-3,
     fairness: float = 2.0,
     steps: int = 300,
+    screened: int = 20_000,
+    min_documents: int = 3,
 ) -> ToxicityModel:
-    """Accelerated proximal gradient on the loss, the penalty and the L1 norm."""
+    """Accelerated proximal gradient on the loss, the penalty and the L1 norm.
+
+    Weights are fitted for the ``screened`` features that tell the labels apart
+    best, of those in at least ``min_documents`` rows.
+    """
     labelled = [(label, plus) for label, plus, _ in examples if label is not None]
     label = np.array([y for y, _ in labelled], np.float64)
     if not len(label) or label.min() == label.max():
@@ -217,7 +302,7 @@ def fit(
         share = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.empty(0, np.int32), np.empty(0), float(np.log(share / (1 - share))))
     rows = [plus for _, plus in labelled]
-    features = _screen(rows, label)
+    features = _screen(rows, label, screened, min_documents)
     place = np.full(1 << BUCKET_BITS, -1)
     place[features] = np.arange(len(features))
     x = _Rows(rows, place)
@@ -274,15 +359,33 @@ def _taken(examples: pa.Table) -> list[tuple[int | None, np.ndarray, np.ndarray]
     return list(zip(examples.column("label").to_pylist(), *sets, strict=True))
 
 
-def train_toxicity(
-    documents: DataFrame, labels: DataFrame, per_label: int = 1500, text: str = "text", **settings
-) -> ToxicityModel:
-    """Fit on a bounded sample of the rows of ``labels`` (``doc_id, toxic``)."""
-    known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("label"))
+def training_rows(documents: DataFrame, labels: DataFrame, per_label: int, text: str = "text") -> DataFrame:
+    """``label, text`` of at most ``per_label`` labelled documents of each label, stored."""
+    known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("label"))
     sample = bounded_sample(known, "label", "doc_id", per_label)
     # At most two labels times per_label rows.
     rows = documents.select("doc_id", F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
-    taken = _taken(_examples(rows.select("label", "text")).toArrow())
+    return stored(rows.select("label", "text"), "labelled")
+
+
+def train_toxicity(
+    documents: DataFrame,
+    labels: DataFrame,
+    per_label: int = 1500,
+    text: str = "text",
+    kinds: Sequence[Sequence[str]] = IDENTITY_TERMS,
+    found_terms: int = 64,
+    **settings,
+) -> ToxicityModel:
+    """Fit on a bounded sample of the rows of ``labels`` (``doc_id, toxic``).
+
+    ``kinds`` are the terms that stand for one another; at most ``found_terms``
+    words of the sample are added in pairs (:func:`found_pairs`).
+    """
+    rows = training_rows(documents, labels, per_label, text)
+    listed = [term for kind in kinds for term in kind]
+    swaps = Swaps([*kinds, *found_pairs(rows, listed, found_terms)])
+    taken = _taken(_examples(rows, swaps).toArrow())
     taken.sort(key=lambda one: (one[0] is None, one[0] or 0, one[1].tobytes(), one[2].tobytes()))
     return fit(taken, **settings)
 

@@ -123,13 +123,55 @@ def test_windows_pool_over_whole_texts():
 
 
 def examples(pairs):
-    out = []
+    out, swaps = [], tox.Swaps()
     for text, label in pairs:
         out.append((label, tox._set_of(text), np.empty(0, np.int32)))
-        out += [(None, plus, minus) for plus, minus in tox.counterfactuals(text)]
+        out += [(None, plus, minus) for plus, minus in tox.counterfactuals(text, swaps, swaps.pattern())]
     return out
 
 
+def test_swaps_go_round():
+    swaps = tox.Swaps([("a.b", "c"), ("d", "e", "f"), ("c", "x")])
+    assert swaps.next == {"a.b": "c", "c": "a.b", "d": "e", "e": "f", "f": "d", "x": "c"}
+    assert swaps.pattern().sub(lambda m: swaps.next[m[0]], "aab c-d fx f") == "aab a.b-e fx d"
+    assert not tox.Swaps([])
+
+
+def plain_fit(x, y, change, l1, fairness, steps=20_000):
+    """The same objective by plain proximal gradient with a small fixed step."""
+    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    step = 1 / (0.25 * np.linalg.norm(np.column_stack([x, np.ones(len(x))]).T * np.sqrt(weight), 2) ** 2
+                + 2 * fairness * np.linalg.norm(change, 2) ** 2 / len(change))
+    w, b = np.zeros(x.shape[1]), 0.0
+    for _ in range(steps):
+        error = weight * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        moved = w - step * (x.T @ error + 2 * fairness / len(change) * change.T @ (change @ w))
+        b -= step * error.sum()
+        w = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
+    z = x @ w + b
+    return (weight * np.logaddexp(0, np.where(y == 1, -z, z))).sum() + l1 * np.abs(w).sum() + fairness * ((change @ w) ** 2).mean()
+
+
+def test_the_fit_reaches_the_optimum():
+    rng = np.random.default_rng(5)
+    x = (rng.random((80, 12)) < 0.4).astype(float)
+    y = (x[:, 0] + x[:, 1] + rng.random(80) > 1.3).astype(float)
+    change = np.sign(rng.normal(size=(30, 12))) * (rng.random((30, 12)) < 0.2)
+    rows = [(int(label), np.flatnonzero(row).astype(np.int32), np.empty(0, np.int32)) for row, label in zip(x, y, strict=True)]
+    rows += [(None, np.flatnonzero(c > 0).astype(np.int32), np.flatnonzero(c < 0).astype(np.int32)) for c in change]
+    for fairness in (0.0, 2.0):
+        model = tox.fit(rows, l1=5e-3, fairness=fairness, steps=3000)
+        w = np.zeros(12)
+        w[model.features] = model.weights
+        screened = tox._screen([r[1] for r in rows[:80]], y, 20_000, 3)
+        kept = np.zeros(12, bool)
+        kept[screened] = True
+        weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+        z = x @ w + model.intercept
+        ours = (weight * np.logaddexp(0, np.where(y == 1, -z, z))).sum() + 5e-3 * np.abs(w).sum() + fairness * ((change @ w) ** 2).mean()
+        assert abs(ours - plain_fit(x[:, kept], y, change[:, kept], 5e-3, fairness)) < 1e-4
+
+
 def test_swapped_terms_lose_their_weight():
     """Neutral mentions of a group that stands in most toxic sentences of the sample."""
     rng = np.random.default_rng(3)

@@ -10,6 +10,11 @@ and the curvature are sums over documents, taken by Spark over a histogram of
 (source, size), which is far smaller than the documents and exact. A step that
 leaves the bracket known so far is replaced by its middle.
 
+Rows that agree in id, source and size are told apart by nothing that the mix
+reads, so they are counted before the shuffle and come back, in blocks that are
+dealt to the buckets, when their copies are decided: an id or a missing id that
+many rows share does not fill one bucket.
+
 Rates become copies within buckets of some thousand rows of a source, from the
 longest document to the shortest: a document takes the higher of its two counts
 if the words owed so far make up half of it. A bucket ends within a short
@@ -21,12 +26,14 @@ agree whatever order the tasks end in.
 Defined cases: a null text has size 0; sources that are null are one source,
 last in order; a source without words has target 0; documents without words keep
 rate 1 (or ``cap`` if their whole source is taken ``cap`` times) and take 0
-words; repeated rows are documents of their own. Other columns are ignored.
+words; repeated rows are documents of their own. Other columns are ignored. If the
+iteration ends before every source is near its target, a warning says by how much.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +43,8 @@ from flowvigil.llm.store import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 4096
+#: Equal rows are dealt to the buckets in blocks of this many.
+BLOCK_ROWS = 256
 #: Newton stops when every source is this near its target, as a share of it.
 TOLERANCE = 1e-7
 MAX_STEPS = 60
@@ -103,10 +112,13 @@ def solve_multipliers(histogram: DataFrame, sources: DataFrame, cap: float) -> D
         .withColumn("error", F.when(~F.col("full"), F.lit(1.0)).otherwise(F.lit(0.0))),
         "multipliers",
     )
-    for _ in range(MAX_STEPS):
+    for step in range(MAX_STEPS + 1):
         worst = state.agg(F.max("error")).first()[0]
         if worst is None or worst <= TOLERANCE:
             break
+        if step == MAX_STEPS:
+            warnings.warn(f"entropy balancing: a source is {worst:.2g} of its target away from it", stacklevel=2)
+            break
         x = F.col("size") / F.col("mean")
         rate = _rate(F.col("multiplier"), x, cap)
         free = F.when(rate < cap, rate * x * x * F.col("n")).otherwise(F.lit(0.0))
@@ -165,10 +177,12 @@ def mix_sources(
     sized = stored(
         documents.select(
             "doc_id", "source", _source_key(F.col("source")).alias("key"), word_count(F.col(text)).alias("size")
-        ),
+        )
+        .groupBy("doc_id", "source", "key", "size")
+        .agg(F.count("*").alias("n")),
         "sizes",
     )
-    histogram = stored(sized.groupBy("key", "source", "size").agg(F.count("*").alias("n")), "histogram")
+    histogram = stored(sized.groupBy("key", "source", "size").agg(F.sum("n").alias("n")), "histogram")
     totals = histogram.groupBy("key", "source").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size"),
         F.sum("n").alias("documents"),
@@ -179,26 +193,31 @@ def mix_sources(
         _rate(F.col("multiplier"), F.col("size") / F.col("mean"), float(cap))
     )
     per_source = solved.select("key", "source_size", "target", "documents", "mean", "multiplier")
+    blocks = F.sequence(F.lit(0), F.expr(f"(n - 1) div {BLOCK_ROWS}").cast("int"))
     rated = (
         sized.join(per_source, "key")
         .withColumn("rate", F.round(rate, 9))
-        .withColumn("hash", F.xxhash64("doc_id", "size"))
+        .withColumn("block", F.explode(blocks))
+        .withColumn("rows", F.least(F.lit(BLOCK_ROWS), F.col("n") - F.col("block") * BLOCK_ROWS).cast("int"))
+        .withColumn("hash", F.xxhash64("doc_id", "size", "block"))
         .withColumn("bucket", F.pmod(F.col("hash"), F.ceil(F.col("documents") / BUCKET_ROWS)))
         .select(
             "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"),
-            "target", "rate", "key", "hash", "bucket",
+            "target", "rate", "key", "hash", "bucket", "rows",
         )
     )
-    out = rated.drop("key", "hash", "bucket").schema.add("copies", "long").add("taken", "long")
+    out = rated.drop("key", "hash", "bucket", "rows").schema.add("copies", "long").add("taken", "long")
     return rated.groupBy("key", "bucket").applyInPandas(lambda bucket: round_rates(bucket, cap), out)
 
 
 def round_rates(rows: pd.DataFrame, cap: int) -> pd.DataFrame:
-    """Copies of a bucket's documents: the words still owed decide between two counts.
+    """Copies of a bucket's documents, each line standing for ``rows`` of them.
 
+    The words still owed decide between two counts.
     From the longest document to the shortest; then, in the same order, a document
     gets one copy more or less if that brings the bucket nearer to what it owes.
     """
+    rows = rows.loc[rows.index.repeat(rows["rows"])]
     rows = rows.sort_values(["size", "hash", "doc_id"], ascending=[False, True, True])
     sizes, rates = rows["size"].tolist(), rows["rate"].tolist()
     copies, owed = [], 0.0
@@ -215,4 +234,4 @@ def round_rates(rows: pd.DataFrame, cap: int) -> pd.DataFrame:
             owed -= step * size
     rows["copies"] = copies
     rows["taken"] = rows["copies"] * rows["size"]
-    return rows.drop(columns=["key", "hash", "bucket"])
+    return rows.drop(columns=["key", "hash", "bucket", "rows"])

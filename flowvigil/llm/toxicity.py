@@ -14,8 +14,8 @@ other groups than the list, has sentences to swap in. A word that tells the labe
 apart is never taken for a term.
 
 The fit uses a bounded sample (``per_label`` rows of each label) whose features
-are computed by Spark, and weighs both labels alike, so that 0.5 is where they
-part. Scoring reads every whole text once, in its own task, and
+are computed by Spark; it runs in one task and weighs both labels alike, so that
+0.5 is where they part. Scoring reads every whole text once, in its own task, and
 looks up weights that are not zero.
 
 Defined cases: a null text is an empty text; an empty text scores by the
@@ -26,6 +26,7 @@ the share of toxic labels, or near 0 without any. Other columns are untouched.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -216,12 +217,19 @@ _EXAMPLE = T.StructType(
         T.StructField("label", T.IntegerType()),
         T.StructField("plus", T.ArrayType(T.IntegerType())),
         T.StructField("minus", T.ArrayType(T.IntegerType())),
+        T.StructField("order", T.LongType()),
     ]
 )
 
 
+def _order(plus: np.ndarray, minus: np.ndarray) -> int:
+    """Hash of a pair of sets, by which examples are put in order."""
+    found = hashlib.blake2b(plus.tobytes() + b"-" + minus.tobytes(), digest_size=8).digest()
+    return int.from_bytes(found, "little", signed=True)
+
+
 def _examples(rows: DataFrame, swaps: Swaps) -> DataFrame:
-    """``label, text`` to feature sets; pairs for the penalty have a null label."""
+    """``label, text`` to feature sets and their order; pairs for the penalty have a null label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         term = swaps.pattern()
@@ -239,22 +247,46 @@ def _examples(rows: DataFrame, swaps: Swaps) -> DataFrame:
                     plus.append(added)
                     minus.append(removed)
             kind = pa.list_(pa.int32())
+            order = [_order(*sets) for sets in zip(plus, minus, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(label, pa.int32()), pa.array(plus, kind), pa.array(minus, kind)], names=_EXAMPLE.names
+                [pa.array(label, pa.int32()), pa.array(plus, kind), pa.array(minus, kind), pa.array(order, pa.int64())],
+                names=_EXAMPLE.names,
             )
 
     return rows.select(F.col("label").cast("int"), "text").mapInArrow(run, _EXAMPLE)
 
 
+@dataclass(frozen=True)
+class _Sets:
+    """Sets of features one after the other: ``edges`` says where each begins in ``values``."""
+
+    edges: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, sets: list[np.ndarray]) -> _Sets:
+        edges = np.concatenate([[0], np.cumsum([len(one) for one in sets])]).astype(np.int64)
+        return cls(edges, np.concatenate(sets) if sets else np.empty(0, np.int32))
+
+    @classmethod
+    def of_column(cls, column: pa.ChunkedArray) -> _Sets:
+        lengths = pc.list_value_length(column).to_numpy()
+        values = pc.list_flatten(column).to_numpy()
+        return cls(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), values)
+
+    def each(self) -> list[np.ndarray]:
+        return [self.values[a:b] for a, b in zip(self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True)]
+
+
 class _Rows:
     """Sparse rows with equal entries, over screened features."""
 
-    def __init__(self, rows: list[np.ndarray], place: np.ndarray) -> None:
-        found = [place[row] for row in rows]
-        found = [row[row >= 0] for row in found]
-        self.n = len(rows)
-        self.row = np.repeat(np.arange(self.n), [len(row) for row in found])
-        self.column = np.concatenate(found) if found else np.empty(0, np.int64)
+    def __init__(self, sets: _Sets, place: np.ndarray) -> None:
+        self.n = len(sets.edges) - 1
+        column = place[sets.values]
+        keep = column >= 0
+        self.row = np.repeat(np.arange(self.n), np.diff(sets.edges))[keep]
+        self.column = column[keep].astype(np.int64)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.column], self.n)
@@ -282,8 +314,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(
-    examples: list[tuple[int | None, np.ndarray, np.ndarray]],
+def fit(examples: list[tuple[int | None, np.ndarray, np.ndarray]], **settings) -> ToxicityModel:
+    """:func:`fit_sets` for examples in a list: label and set of features, or no label and what a swap adds and removes."""
+    labelled = [(label, plus) for label, plus, _ in examples if label is not None]
+    swaps = [(plus, minus) for label, plus, minus in examples if label is None]
+    return fit_sets(
+        np.array([label for label, _ in labelled], np.float64),
+        _Sets.of([plus for _, plus in labelled]),
+        _Sets.of([plus for plus, _ in swaps]),
+        _Sets.of([minus for _, minus in swaps]),
+        **settings,
+    )
+
+
+def fit_sets(
+    label: np.ndarray,
+    held: _Sets,
+    gained: _Sets,
+    lost: _Sets,
     l1: float = 1e-3,
     fairness: float = 2.0,
     steps: int = 300,
@@ -292,22 +340,18 @@ def fit(
 ) -> ToxicityModel:
     """Accelerated proximal gradient on the loss, the penalty and the L1 norm.
 
+    Labelled rows hold features; swapped sentences have gained and lost some.
     Weights are fitted for the ``screened`` features that tell the labels apart
     best, of those in at least ``min_documents`` rows.
     """
-    labelled = [(label, plus) for label, plus, _ in examples if label is not None]
-    label = np.array([y for y, _ in labelled], np.float64)
     if not len(label) or label.min() == label.max():
         share = label.mean() if len(label) else 0.0
         share = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.empty(0, np.int32), np.empty(0), float(np.log(share / (1 - share))))
-    rows = [plus for _, plus in labelled]
-    features = _screen(rows, label, screened, min_documents)
-    place = np.full(1 << BUCKET_BITS, -1)
+    features = _screen(held.each(), label, screened, min_documents)
+    place = np.full(1 << BUCKET_BITS, -1, np.int32)
     place[features] = np.arange(len(features))
-    x = _Rows(rows, place)
-    swaps = [(plus, minus) for y, plus, minus in examples if y is None]
-    added, removed = _Rows([plus for plus, _ in swaps], place), _Rows([minus for _, minus in swaps], place)
+    x, added, removed = (_Rows(sets, place) for sets in (held, gained, lost))
     balance = np.where(label == 1, 0.5 / (label == 1).sum(), 0.5 / (label == 0).sum())
     width = len(features)
     w = v = np.zeros(width)
@@ -348,15 +392,38 @@ def fit(
     return ToxicityModel(features[used].astype(np.int32), w[used], float(b))
 
 
-def _taken(examples: pa.Table) -> list[tuple[int | None, np.ndarray, np.ndarray]]:
-    """Rows of examples, their features as slices of two arrays."""
-    sets = []
-    for name in ("plus", "minus"):
-        column = examples.column(name).combine_chunks()
-        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))])
-        values = column.flatten().to_numpy(zero_copy_only=False)
-        sets.append([values[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)])
-    return list(zip(examples.column("label").to_pylist(), *sets, strict=True))
+_MODEL = T.StructType(
+    [
+        T.StructField("features", T.ArrayType(T.IntegerType())),
+        T.StructField("weights", T.ArrayType(T.DoubleType())),
+        T.StructField("intercept", T.DoubleType()),
+    ]
+)
+
+
+def _fitted(examples: DataFrame, settings: dict) -> ToxicityModel:
+    """The fit in one task, whose rows are bounded by ``per_label``; the driver gets the weights alone."""
+
+    def run(group: pa.Table) -> pa.Table:
+        # The order of tasks is not that of the sums.
+        group = group.sort_by([("label", "ascending"), ("order", "ascending")])
+        known = pc.is_valid(group["label"])
+        labelled, swapped = group.filter(known), group.filter(pc.invert(known))
+        model = fit_sets(
+            labelled["label"].to_numpy().astype(np.float64),
+            _Sets.of_column(labelled["plus"]),
+            _Sets.of_column(swapped["plus"]),
+            _Sets.of_column(swapped["minus"]),
+            **settings,
+        )
+        found = {"features": [model.features], "weights": [model.weights], "intercept": [model.intercept]}
+        kinds = [pa.list_(pa.int32()), pa.list_(pa.float64()), pa.float64()]
+        return pa.table([pa.array(found[name], kind) for name, kind in zip(_MODEL.names, kinds, strict=True)], names=_MODEL.names)
+
+    one = examples.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(run, _MODEL).first()
+    if one is None:
+        return fit([], **settings)
+    return ToxicityModel(np.array(one["features"], np.int32), np.array(one["weights"], np.float64), one["intercept"])
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, per_label: int, text: str = "text") -> DataFrame:
@@ -385,9 +452,7 @@ def train_toxicity(
     rows = training_rows(documents, labels, per_label, text)
     listed = [term for kind in kinds for term in kind]
     swaps = Swaps([*kinds, *found_pairs(rows, listed, found_terms)])
-    taken = _taken(_examples(rows, swaps).toArrow())
-    taken.sort(key=lambda one: (one[0] is None, one[0] or 0, one[1].tobytes(), one[2].tobytes()))
-    return fit(taken, **settings)
+    return _fitted(_examples(rows, swaps), settings)
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:

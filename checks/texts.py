@@ -18,7 +18,7 @@ from flowvigil.functions import (
     uri_words,
 )
 from flowvigil.functions.segments import WordCosts, word_counts
-from flowvigil.operators.embedding import pair_counts, positive_information
+from flowvigil.operators.embedding import word_information
 from flowvigil.operators.http import http_flows
 from flowvigil.operators.route import is_http
 from flowvigil.operators.syslog import (
@@ -303,7 +303,4 @@ def _word_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of words at most two places apart in the documents, and what they say of each other."""
     words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
     texts = fx.table(spark, sf_dir, "documents").select(words.alias("words"))
-    weights = positive_information(pair_counts(texts, "words", 2))
-    return weights.groupBy("word").agg(
-        F.count(F.lit(1)).alias("contexts"), F.sum(F.floor(F.col("weight") * 1000)).alias("information")
-    )
+    return word_information(texts, "words", 2)

@@ -50,8 +50,8 @@ def _stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def pair_counts(texts: DataFrame, words: str, window: int) -> DataFrame:
-    """``word, context, n``: places at most ``window`` apart that hold the two words, both ways."""
+def _unordered_pairs(texts: DataFrame, words: str, window: int) -> DataFrame:
+    """``word, context, n`` with each pair once, under its lesser word; a word beside itself counts twice."""
     apart = texts.select(
         F.col(words).alias("_words"), F.explode(F.sequence(F.lit(1), F.lit(window))).alias("_d")
     ).where(F.size("_words") > F.col("_d"))
@@ -61,15 +61,25 @@ def pair_counts(texts: DataFrame, words: str, window: int) -> DataFrame:
         F.slice("_words", F.col("_d") + 1, length).alias("context"),
     )
     pairs = apart.select(F.inline(beside)).where("word is not null and context is not null")
-    # Each pair is counted once, under its lesser word, and turned round afterwards.
     once = pairs.groupBy(
         F.least("word", "context").alias("word"), F.greatest("word", "context").alias("context")
     ).agg(F.count(F.lit(1)).alias("n"))
     same = F.col("word") == F.col("context")
-    kept = once.withColumn("n", F.when(same, F.col("n") * 2).otherwise(F.col("n")))
-    return kept.unionByName(
-        kept.where(~same).select(F.col("context").alias("word"), F.col("word").alias("context"), "n")
-    )
+    return once.withColumn("n", F.when(same, F.col("n") * 2).otherwise(F.col("n")))
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """Each row, and the same with word and context exchanged if they differ."""
+    rest = [name for name in pairs.columns if name not in ("word", "context")]
+    given = F.struct("word", "context", *rest)
+    turned = F.struct(F.col("context").alias("word"), F.col("word").alias("context"), *rest)
+    same = F.col("word") == F.col("context")
+    return pairs.select(F.inline(F.when(same, F.array(given)).otherwise(F.array(given, turned))))
+
+
+def pair_counts(texts: DataFrame, words: str, window: int) -> DataFrame:
+    """``word, context, n``: places at most ``window`` apart that hold the two words, both ways."""
+    return _both_ways(_unordered_pairs(texts, words, window))
 
 
 def frequent_words(texts: DataFrame, words: str, min_count: int) -> DataFrame:
@@ -85,6 +95,10 @@ def positive_information(pairs: DataFrame) -> DataFrame:
     """
     sums = pairs.groupBy("word").agg(F.sum("n").cast("double").alias("total"))
     whole = float(pairs.agg(F.sum("n")).first()[0] or 0)
+    return _weighed(pairs, sums, whole)
+
+
+def _weighed(pairs: DataFrame, sums: DataFrame, whole: float) -> DataFrame:
     left = sums.select("word", F.col("total").alias("of_word")).repartition(F.xxhash64("word"))
     right = sums.select(F.col("word").alias("context"), F.col("total").alias("of_context")).repartition(
         F.xxhash64("context")
@@ -94,6 +108,38 @@ def positive_information(pairs: DataFrame) -> DataFrame:
     return joined.select("word", "context", weight.alias("weight")).where("weight > 0")
 
 
+def _vocabulary(texts: DataFrame, words: str) -> tuple[DataFrame, int]:
+    """``word, id`` of every word, the ids being hashes of a seed that tells all words apart; and the seed."""
+    listed = _stored(texts.select(F.explode(words).alias("word")).where("word is not null").distinct(), "words")
+    seed = 42
+    while True:
+        numbered = listed.select("word", F.xxhash64("word", F.lit(seed)).alias("id"))
+        if numbered.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            return numbered, seed
+        seed += 1
+
+
+def word_information(texts: DataFrame, words: str, window: int) -> DataFrame:
+    """``word, contexts, information``: how many words stand near it more often than by
+    chance, and the sum of their weights in whole thousandths, rounded down.
+
+    Pairs are counted once and under numbers, which keep the rows of the two joins short;
+    both ways of a pair weigh the same, so the joins see it once.
+    """
+    vocabulary, seed = _vocabulary(texts, words)
+    number = F.transform(words, lambda word: F.when(word.isNotNull(), F.xxhash64(word, F.lit(seed))))
+    pairs = _stored(_unordered_pairs(texts.select(number.alias("ids")), "ids", window), "pairs")
+    sums = _stored(
+        _both_ways(pairs).groupBy("word").agg(F.sum("n").cast("double").alias("total")), "sums"
+    )
+    whole = float(sums.agg(F.sum("total")).first()[0] or 0)
+    weights = _both_ways(_weighed(pairs, sums, whole))
+    told = weights.groupBy("word").agg(
+        F.count(F.lit(1)).alias("contexts"), F.sum(F.floor(F.col("weight") * 1000)).alias("information")
+    )
+    return vocabulary.join(told.withColumnRenamed("word", "id"), "id").select("word", "contexts", "information")
+
+
 def _lanes(width: int) -> list[str]:
     return [f"v{k}" for k in range(width)]
 

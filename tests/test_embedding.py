@@ -12,6 +12,7 @@ from flowvigil.operators.embedding import (
     pair_counts,
     positive_information,
     text_vectors,
+    word_information,
 )
 
 TEXTS = ["a b a a", "", None, "c", "b c d a b", "d d e a c b e", "a e a e b d c"]
@@ -48,6 +49,20 @@ def test_pairs_and_information(spark):
         assert all(abs(got[key] - want[key]) < 1e-12 for key in want)
 
 
+def test_word_information_counts_each_pair_once(spark):
+    rows = texts(spark)
+    for window in (1, 3):
+        want = {}
+        for r in positive_information(pair_counts(rows, "words", window)).collect():
+            contexts, information = want.get(r.word, (0, 0))
+            want[r.word] = (contexts + 1, information + int(np.floor(r.weight * 1000)))
+        got = word_information(rows, "words", window)
+        assert {r.word: (r.contexts, r.information) for r in got.collect()} == want
+    # The texts are cut into pairs before the plan begins, not anew on each side of a join.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence" not in plan and "arrays_zip" not in plan
+
+
 def test_frequent_words(spark):
     words = Counter(" ".join(text or "" for text in TEXTS).split())
     got = {r.word for r in frequent_words(texts(spark), "words", 5).collect()}

@@ -127,3 +127,24 @@ def test_the_regression_is_the_optimum(spark):
     clear = np.abs(p - 0.5) > 2e-3
     assert ((p > 0.5) == np.array([r.predictionLR for r in scored]))[clear].all()
     assert clear.mean() > 0.5
+
+
+def test_texts_are_embedded_once(spark, monkeypatch):
+    """The classifiers' many passes read stored vectors; the model still takes raw texts."""
+    from flowvigil.plans import uri_model as plans
+
+    given = []
+    real = plans._classifiers
+
+    def watched(rows, settings):
+        given.append((rows.columns, rows.storageLevel.useMemory))
+        return real(rows, settings)
+
+    monkeypatch.setattr(plans, "_classifiers", watched)
+    rows = spark.createDataFrame([("a", "x y z"), ("b", "p q r")] * 20, "label string, uri string")
+    settings = TextModelSettings(vector_size=3, embedding_iterations=1, embedding_partitions=2, trees=3)
+    model = train_text_model(rows, settings)
+    assert given == [(["label", "words2vec"], True)]
+    names = [type(stage).__name__ for stage in model.stages]
+    assert names[:2] == ["RegexTokenizer", "Word2VecModel"] and names[-2:] == ["IndexToString"] * 2
+    assert model.transform(rows.select("uri")).where("predictedLabelRF is not null").count() == 40

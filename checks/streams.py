@@ -20,6 +20,7 @@ from flowvigil.plans.models import ModelFeed
 from flowvigil.session import work_folder
 from flowvigil.sources.patterns import VENDOR_PATTERNS
 from flowvigil.sources.sinks import DESTINATION, Target
+from flowvigil.sources.tables import spread
 from flowvigil.streaming.network import start_network_etl
 from flowvigil.streaming.run import StreamOptions
 from flowvigil.streaming.scoring import (
@@ -33,11 +34,16 @@ from flowvigil.streaming.windows import session_features, windowed_features
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "events").schema
-    return (
+    return _on_all_cores(
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
 
 
+def _on_all_cores(source: DataFrame) -> DataFrame:
+    """A file of few row groups is read by as few tasks; what makes lines of it and parses them gets more."""
+    return spread(source, source.sparkSession.sparkContext.defaultParallelism)
+
+
 def _options(spark: SparkSession, **changes) -> StreamOptions:
     return StreamOptions(work_folder(spark, "stream-checkpoint"), interval=None, **changes)
 
@@ -294,7 +300,7 @@ def _stream_netflow_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = work_folder(spark, "stream-checkpoint")
     for half in _halves(spark, sf_dir):
         half.write.mode("append").parquet(feed)
-        source = spark.readStream.schema(half.schema).parquet(feed)
+        source = _on_all_cores(spark.readStream.schema(half.schema).parquet(feed))
         records = netflow_records(fx.netflow_lines(source))
         timed = records.withColumn("event_time", F.timestamp_seconds("starttime"))
         (
@@ -314,7 +320,7 @@ def _stream_netflow_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flow_feed(spark: SparkSession, folder: str, events: DataFrame) -> DataFrame:
     """Flow messages of the events that are in the folder, these added to them."""
     events.write.mode("append").parquet(folder)
-    source = spark.readStream.schema(events.schema).parquet(folder)
+    source = _on_all_cores(spark.readStream.schema(events.schema).parquet(folder))
     return flow_messages(http_flows(fx.http_lines(source).where(is_http(F.col("value")))))
 
 
@@ -356,7 +362,7 @@ def _stream_netflow_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     feed, target = work_folder(spark, "event-feed"), _target(spark, "netflow-once")
     events.unionByName(events).write.parquet(feed)
-    source = spark.readStream.schema(events.schema).parquet(feed)
+    source = _on_all_cores(spark.readStream.schema(events.schema).parquet(feed))
     messages = json_messages(netflow_records(fx.netflow_lines(source)))
     start_netflow_scoring(
         messages, netflow_model(spark, sf_dir), target, _options(spark), once_within="1 day"

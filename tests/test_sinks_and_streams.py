@@ -339,3 +339,13 @@ def document_is_object():
     from pyspark.sql import functions as F
 
     return F.schema_of_variant("doc").startswith("OBJECT")
+
+
+def test_a_stream_of_one_file_is_dealt_to_all_cores(spark, tmp_path):
+    from checks import streams
+
+    spark.range(10).selectExpr(
+        "id as event_id", "timestamp_seconds(1704067200 + id) as ts", "id as user_id"
+    ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    plan = streams.event_stream(spark, str(tmp_path))._jdf.queryExecution().logical().toString()
+    assert f"Repartition {spark.sparkContext.defaultParallelism}, true" in plan

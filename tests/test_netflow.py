@@ -333,3 +333,17 @@ def test_alerts_by_record(spark):
     rows = alerts.collect()
     assert {row["recordid"] for row in rows} == wanted
     assert {row["flownuma"] for row in rows} == {len(rows)} == {records.where("srcip = 'hot'").count()}
+
+
+def test_rows_of_few_classes_are_not_shuffled_to_their_label(spark):
+    rows = spark.range(40).select(F.when(F.col("id") < 37, "FLOOD").otherwise("DOS").alias("label"), "id")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        balanced = sampling.oversample(rows)
+        plan = balanced._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert {row["label"]: row["count"] for row in balanced.groupBy("label").count().collect()} == {"FLOOD": 37, "DOS": 36}
+    finally:
+        spark.conf.set(threshold, before)

@@ -58,8 +58,8 @@ def parse_http(lines: DataFrame, value: str = "value") -> DataFrame:
     A span that is no JSON object leaves ``flowcontent`` null: see
     :func:`flowvigil.operators.deadletter.network_errors`.
     """
-    with_span = lines.where(F.col(value).rlike(JSON_SPAN))
-    return once(with_span, "flowcontent", json_object(F.regexp_extract(value, JSON_SPAN, 1)))
+    spans = once(lines, "_span", F.regexp_extract(value, JSON_SPAN, 1))
+    return once(spans.where("_span <> ''"), "flowcontent", json_object(F.col("_span"))).drop("_span")
 
 
 def is_static(uri: Column) -> Column:

@@ -12,6 +12,7 @@ from flowvigil.operators.deadletter import dead_letters, fail_on_error, parse_ne
 from flowvigil.operators.http import complete, drop_static
 from flowvigil.operators.netflow import explode_records, typed_records
 from flowvigil.operators.netflow_messages import json_messages
+from flowvigil.operators.route import is_http
 from flowvigil.operators.rules import Rule, match_rules, rule_rows
 from flowvigil.operators.uri_flows import flow_messages
 from flowvigil.sources.sinks import documents
@@ -42,8 +43,19 @@ def network_tables(
     strict: bool = False,
     id_mode: str = "hash",
 ) -> NetworkTables:
-    """Route, parse and match rules; see :func:`tables_of`."""
-    return tables_of(parse_network(lines, value), rules, value, strict, id_mode)
+    """Route, parse and match rules; see :func:`tables_of`.
+
+    Flows and records each parse their own lines alone, so whoever reads both
+    parses no line twice. ``strict`` parses all lines for either, and fails on any.
+    """
+    if strict:
+        return tables_of(parse_network(lines, value), rules, value, strict, id_mode)
+    http = is_http(F.col(value))
+    return NetworkTables(
+        _flows(parse_network(lines.where(http), value), rules, value, strict, id_mode),
+        _records(parse_network(lines.where(~http), value), value, strict, id_mode),
+        dead_letters(parse_network(lines, value), "network", value),
+    )
 
 
 def tables_of(
@@ -59,17 +71,29 @@ def tables_of(
     A line with an error is a dead letter and nothing else, a bad date included;
     ``strict`` fails on it instead.
     """
-    letters = dead_letters(parsed, "network", value)
+    return NetworkTables(
+        _flows(parsed, rules, value, strict, id_mode),
+        _records(parsed, value, strict, id_mode),
+        dead_letters(parsed, "network", value),
+    )
+
+
+def _good(parsed: DataFrame, wanted: Column, strict: bool) -> DataFrame:
     error = F.col("error").isNotNull()
+    # In strict mode the filter lets errors through: it may run first.
+    if strict:
+        return fail_on_error(parsed.where(wanted | error))
+    return parsed.where(wanted & ~error).drop("error")
 
-    def good(wanted: Column) -> DataFrame:
-        # In strict mode the filter lets errors through: it may run first.
-        if strict:
-            return fail_on_error(parsed.where(wanted | error))
-        return parsed.where(wanted & ~error).drop("error")
 
-    http = good(F.col("http") & F.col("flowcontent").isNotNull()).drop("http", "records")
+def _flows(
+    parsed: DataFrame, rules: DataFrame | Sequence[Rule], value: str, strict: bool, id_mode: str
+) -> DataFrame:
+    http = _good(parsed, F.col("http") & F.col("flowcontent").isNotNull(), strict).drop("http", "records")
     flows = complete(drop_static(http), value, id_mode)
-    netflow = good(F.col("records").isNotNull()).drop("http", "flowcontent")
-    records = typed_records(explode_records(netflow, value, id_mode))
-    return NetworkTables(rule_rows(match_rules(flows, rules)).drop(value), records, letters)
+    return rule_rows(match_rules(flows, rules)).drop(value)
+
+
+def _records(parsed: DataFrame, value: str, strict: bool, id_mode: str) -> DataFrame:
+    netflow = _good(parsed, F.col("records").isNotNull(), strict).drop("http", "flowcontent")
+    return typed_records(explode_records(netflow, value, id_mode))

@@ -208,3 +208,14 @@ def test_network_tables(spark, lines):
     assert tables.netflow_messages().count() == 2
     with pytest.raises(Exception, match="http payload"):
         network_tables(lines("netlog_http {x}"), rules, strict=True).documents().collect()
+
+
+def test_tables_parse_their_own_lines_alone(spark):
+    sorts = {"http": 'netlog_http {"Uri":"/a?b=1"}', "netflow": 'send a message: [[{"srcip":"1"}]]'}
+    found = spark.createDataFrame([(line,) for line in sorts.values() for _ in range(20)], "value string")
+    tables = network_tables(found, [])
+    assert (tables.flows.count(), tables.records.count(), tables.letters.count()) == (20, 20, 0)
+
+    for table in (tables.flows, tables.records):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter" in plan.split("Generate")[-1]

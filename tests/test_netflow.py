@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tables  # noqa: F401  (registers the queries)
+from checks.registry import QUERIES
 from flowvigil.operators import sampling
 from flowvigil.operators.alerts import alerts_by_ports, alerts_by_record
 from flowvigil.operators.features import (
@@ -347,3 +349,17 @@ def test_rows_of_few_classes_are_not_shuffled_to_their_label(spark):
         assert {row["label"]: row["count"] for row in balanced.groupBy("label").count().collect()} == {"FLOOD": 37, "DOS": 36}
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_a_bounded_training_set_reads_stored_features(spark, tmp_path):
+    events = spark.range(60).selectExpr("id as event_id", "timestamp_seconds(1704067200 + id) as ts", "id % 9 as user_id")
+    lineitem = spark.range(60).selectExpr(
+        "id as l_suppkey", "id * 3 as l_partkey", "id % 7 + 1 as l_linenumber", "date'1995-01-01' as l_shipdate",
+        "element_at(array('A', 'N', 'R'), cast(id % 3 + 1 as int)) as l_returnflag", "id as l_quantity",
+        "id * 1.5 as l_extendedprice", "id as l_orderkey",
+    )
+    for name, df in (("events", events), ("lineitem", lineitem)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    chosen = QUERIES["attack_train_set_bounded"](spark, str(tmp_path))
+    assert not [name for name in chosen.inputFiles() if ".parquet/" in name]
+    assert chosen.where("label <> 'normal'").count() > 0

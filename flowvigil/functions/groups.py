@@ -23,5 +23,9 @@ def captured_groups(text: Column, pattern: str, groups: Sequence[int]) -> Column
         return one_by_one
     whole = f"^(?s:.*?)(?:{pattern})(?s:.*)$"
     joined = F.regexp_replace(text, whole, _SEPARATOR.join(f"${group}" for group in groups))
-    parts = F.split(joined, _SEPARATOR, -1)
-    return F.when(F.size(parts) == len(groups), parts).otherwise(one_by_one)
+
+    def told(parts: Column) -> Column:
+        return F.when(F.size(parts) == len(groups), parts).otherwise(one_by_one)
+
+    # A list of one element names the parts: the search runs once and not for each use.
+    return F.get(F.transform(F.array(F.split(joined, _SEPARATOR, -1)), told), 0)

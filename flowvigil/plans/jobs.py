@@ -19,7 +19,7 @@ from flowvigil.operators.features import (
     recent_records,
 )
 from flowvigil.operators.sampling import attack_training_set, netflow_training_set
-from flowvigil.operators.uri_flows import recent_queries, training_rows
+from flowvigil.operators.uri_flows import counted_rows, recent_queries, training_rows
 from flowvigil.plans.models import load_model, save_model
 from flowvigil.plans.netflow_model import NetflowModelSettings, train_netflow_model
 from flowvigil.plans.uri_model import TextModelSettings, train_text_model
@@ -35,7 +35,7 @@ def train_uri_model(
     lexicon: Sequence[str] = (),
 ) -> PipelineModel:
     """Learn from a table of (label, uri)."""
-    model = train_text_model(training_rows(labelled.read(spark), lexicon), settings)
+    model = train_text_model(counted_rows(training_rows(labelled.read(spark), lexicon)), settings)
     save_model(model, model_path)
     return model
 

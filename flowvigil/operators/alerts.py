@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvigil.functions import record_id
+from flowvigil.functions import once, record_id
 from flowvigil.operators.features import GROUP_KEYS
 
 # Labels, and the prefix by which the alert tables know these rows.
@@ -33,9 +33,9 @@ def injection_alerts(scored: DataFrame, id_mode: str = "hash") -> DataFrame:
         chosen = F.col(f"prediction{model}").cast("int")
         return F.get(vector_to_array(F.col(f"probability{model}")), chosen)
 
-    hits = scored.where(
-        (F.col("predictedLabelRF") == INJECTION) | (F.col("predictedLabelLR") == INJECTION)
-    )
+    # Below the model the filter would run the whole of it for each label, and again for the hits.
+    hit = (F.col("predictedLabelRF") == INJECTION) | (F.col("predictedLabelLR") == INJECTION)
+    hits = once(scored, "_hit", hit).where("_hit")
     if "id" in scored.columns:
         row_id = F.col("id")
     else:

@@ -1,11 +1,21 @@
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from flowvigil.operators.alerts import attack_groups, injection_alerts
 from flowvigil.operators.features import FEATURE_COLUMNS
+from flowvigil.operators.http import http_flows
+from flowvigil.operators.uri_flows import counted_rows, flow_messages, parse_flow_messages
 from flowvigil.plans.models import confusion, evaluate, load_model, save_model
 from flowvigil.plans.netflow_model import NetflowModelSettings, train_netflow_model
-from flowvigil.plans.uri_model import TextModelSettings, train_text_model
+from flowvigil.plans.uri_model import (
+    COPY_BLOCKS,
+    TextModelSettings,
+    _every_copy,
+    _in_blocks,
+    train_text_model,
+    word_tokenizer,
+)
 from flowvigil.session import work_folder
 
 
@@ -148,3 +158,40 @@ def test_texts_are_embedded_once(spark, monkeypatch):
     names = [type(stage).__name__ for stage in model.stages]
     assert names[:2] == ["RegexTokenizer", "Word2VecModel"] and names[-2:] == ["IndexToString"] * 2
     assert model.transform(rows.select("uri")).where("predictedLabelRF is not null").count() == 40
+
+
+def test_counted_rows_train_as_many_copies(spark):
+    """The embedding sees every copy, labels are ordered by copies, and a like model shares its embedding."""
+    given = [("normal", "?|id|=|luannumber", 2500), ("sql", "?|u|=|union|select|pwd", 40), ("sql", "?|b|union|all", 1)]
+    plain = [(label, uri) for label, uri, copies in given for _ in range(copies)]
+    rows = counted_rows(spark.createDataFrame(plain, "label string, uri string").repartition(3))
+    assert sorted(map(tuple, rows.collect())) == sorted(given)
+    settings = TextModelSettings(vector_size=4, embedding_iterations=1, embedding_partitions=2, trees=5, regression_iterations=5)
+    blocks = _in_blocks(rows, settings)
+    assert blocks.count() == COPY_BLOCKS + 40 + 1
+    texts = _every_copy(word_tokenizer("uri").transform(blocks)).groupBy("words").count().collect()
+    assert sorted(row["count"] for row in texts) == [1, 40, 2500]
+    # Twice as many rows say "sql", but most copies are normal.
+    model = train_text_model(rows, settings)
+    assert model.stages[2].labels == ["normal", "sql"]
+    other = train_text_model(rows.withColumn("label", F.lit("none")), settings, like=model)
+    vectors = [sorted(map(str, m.stages[1].getVectors().collect())) for m in (model, other)]
+    assert vectors[0] == vectors[1]
+    found = model.transform(rows).select("label", "predictedLabelRF").collect()
+    assert all(row["label"] == row["predictedLabelRF"] for row in found)
+
+
+def test_models_and_messages_run_once_for_the_alerts(spark):
+    lines = spark.createDataFrame([('<13> netlog_http {"Uri":"/q?u=1 union","Date":"1706000000"}',)], "value string")
+    parsed = parse_flow_messages(flow_messages(http_flows(lines)))
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1
+    scored = parsed.withColumns(
+        {f"predictedLabel{m}": F.udf(lambda text: "sql")("uri") for m in ("RF", "LR")}
+        | {f"prediction{m}": F.lit(1.0) for m in ("RF", "LR")}
+        | {f"probability{m}": array_to_vector(F.array(F.lit(0.0), F.lit(1.0))) for m in ("RF", "LR")}
+    )
+    alerts = injection_alerts(scored)
+    filters = [line for line in alerts._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in line]
+    assert any("_hit" in line for line in filters) and not any("sql" in line for line in filters)
+    assert alerts.count() == 1

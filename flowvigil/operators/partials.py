@@ -17,11 +17,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from flowvigil.operators.features import DAY_SECONDS, FEATURE_COLUMNS, GROUP_KEYS, protocol_flags, record_sums
-from flowvigil.operators.port_sets import count_of_ports, list_of_ports, merge_cells, port_cells
+from flowvigil.operators.port_sets import CELL, count_of_ports, list_of_ports, merge_cells, port_cells
 
 _SUMS = ("spandtime", "packernum", "bytesize", "flownum")
+#: What ``record_sums`` adds up.
+_SUMMED = ("starttime", "lasttime", "uppkts", "downpkts", "ups", "downs")
 _PORTS = {"srcport": ("src_flow_port_num", "srcports"), "dstport": ("dst_flow_port_num", "dstports")}
 _DAY = "day"
 _BATCH = "batch"
@@ -38,10 +41,11 @@ def sum_partials(records: DataFrame) -> DataFrame:
 
 def cell_partials(records: DataFrame) -> DataFrame:
     """Port cells of each conversation, ``side`` telling source from destination."""
-    sides = [
-        port_cells(records, GROUP_KEYS, port).withColumn("side", F.lit(port)) for port in _PORTS
-    ]
-    return sides[0].unionByName(sides[1])
+    sides = F.array(
+        *[F.struct(F.lit(port).alias("side"), F.col(port).cast("string").alias("port")) for port in _PORTS]
+    )
+    ported = records.select(*GROUP_KEYS, F.inline(sides))
+    return port_cells(ported, [*GROUP_KEYS, "side"], "port").select(*GROUP_KEYS, *CELL, "side")
 
 
 @dataclass(frozen=True)
@@ -51,10 +55,17 @@ class PartialStore:
     folder: str
 
     def add(self, records: DataFrame, batch: str | int) -> None:
-        """Store the partials of a batch; once more with the same name replaces them."""
-        for name, partials in (("sums", sum_partials(records)), ("cells", cell_partials(records))):
-            path = f"{self.folder}/{name}/{_BATCH}={batch}"
-            partials.withColumn(_DAY, _day()).write.mode("overwrite").partitionBy(_DAY).parquet(path)
+        """Store the partials of a batch; once more with the same name replaces them.
+
+        The records are derived once, and what both tables need of them is kept meanwhile.
+        """
+        kept = records.select(*GROUP_KEYS, *_SUMMED, *_PORTS).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, partials in (("sums", sum_partials(kept)), ("cells", cell_partials(kept))):
+                path = f"{self.folder}/{name}/{_BATCH}={batch}"
+                partials.withColumn(_DAY, _day()).write.mode("overwrite").partitionBy(_DAY).parquet(path)
+        finally:
+            kept.unpersist()
 
     def _read(self, spark: SparkSession, name: str, since: int | None) -> DataFrame:
         found = spark.read.option("basePath", f"{self.folder}/{name}").parquet(f"{self.folder}/{name}")

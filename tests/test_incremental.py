@@ -10,7 +10,7 @@ from flowvigil.functions.segments import WordCosts, segmented, word_counts
 from flowvigil.functions.uris import clean_uri
 from flowvigil.operators.evaluation import mean_ranks, rank_evaluation
 from flowvigil.operators.features import netflow_features
-from flowvigil.operators.partials import PartialStore
+from flowvigil.operators.partials import PartialStore, cell_partials
 from flowvigil.operators.port_sets import merge_cells, port_cells, port_counts, port_lists
 from flowvigil.operators.ranks import global_ranks, running_totals
 
@@ -131,3 +131,25 @@ def test_least_cost_words_in_an_address(spark):
     spoken = spark.createDataFrame([(["ab", "ab", "c", "x1", "abcdef"],), (["ab", "abc"],)], "w array<string>")
     assert word_counts(spoken, "w", 1, 5, 10) == {"ab": 3, "abc": 1}
     assert word_counts(spoken, "w", 1, 5, 1) == {"ab": 3}
+
+
+def test_partials_derive_the_records_once(spark, tmp_path):
+    names = ("starttime", "lasttime", "uppkts", "downpkts", "ups", "downs")
+    derived = spark.sparkContext.accumulator(0)
+
+    def seen(number):
+        derived.add(1)
+        return str(number)
+
+    records = spark.range(12).select(
+        F.lit("a").alias("srcip"), F.lit("tcp").alias("proto"), F.lit("b").alias("dstip"), F.lit(1).cast("bigint").alias("recordtime"),
+        *[F.col("id").alias(name) for name in names],
+        F.udf(seen)("id").alias("srcport"), F.when(F.col("id") > 0, "x").alias("dstport"),
+    )
+    plan = cell_partials(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 12") == 1
+    store = PartialStore(str(tmp_path / "partials"))
+    store.add(records, 0)
+    assert derived.value == 12
+    row = store.features(spark).first()
+    assert (row["src_flow_port_num"], row["dst_flow_port_num"], row["dstports"], row["flownum"]) == (12.0, 1.0, "x", 12.0)

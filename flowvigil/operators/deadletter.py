@@ -37,7 +37,9 @@ def parse_network(
     )
     result = F.col("_parsed")
     dates = F.map_values(F.map_filter(result["flow"], lambda key, _: F.lower(key) == "date"))
-    bad_date = (F.size(dates) > 0) & parse_time(F.try_element_at(dates, F.lit(-1))).isNull()
+    # A list of one element names the date, which is looked up once and not for each use.
+    date = F.transform(F.array(F.try_element_at(dates, F.lit(-1))), parse_time)
+    bad_date = (F.size(dates) > 0) & F.get(date, 0).isNull()
     error = (
         F.when(result["has_flow"] & result["flow"].isNull(), "http payload is no JSON object")
         .when(result["has_flow"] & bad_date, "http date has fewer than ten digits")

@@ -10,6 +10,7 @@ from flowvigil.operators.deadletter import (
     dead_letters,
     fail_on_error,
     network_errors,
+    parse_network,
 )
 from flowvigil.operators.http import FLOW_COLUMNS, complete, drop_static, http_flows, parse_http
 from flowvigil.operators.route import route
@@ -219,3 +220,10 @@ def test_tables_parse_their_own_lines_alone(spark):
     for table in (tables.flows, tables.records):
         plan = table._jdf.queryExecution().optimizedPlan().toString()
         assert "Filter" in plan.split("Generate")[-1]
+
+
+def test_the_date_of_a_line_is_looked_up_once(spark):
+    parsed = parse_network(spark.createDataFrame([('netlog_http {"Date":"12","date":"17"}',)], "value string"))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_filter(") + plan.count("mapfilter(") == 2
+    assert parsed.first()["error"] == "http date has fewer than ten digits"

@@ -150,8 +150,10 @@ def _uri_least_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = _uris(spark, sf_dir).select("source", "id", uri_decode(F.col("uri")).alias("uri"))
     spoken = decoded.select(uri_words(uri_tokens(F.col("uri"))).alias("words"))
     costs = WordCosts.of_counts(word_counts(spoken, "words", LEAST, LONGEST, MOST_WORDS))
-    letters = F.regexp_replace("uri", "[^a-z]", "")
-    return decoded.select("source", "id", uri_tokens(letters, costs).alias("text"))
+    lettered = decoded.select("source", "id", F.regexp_replace("uri", "[^a-z]", "").alias("letters"))
+    # Addresses that differ in numbers have the same letters, which are cut once.
+    cut = lettered.select("letters").distinct().select("letters", uri_tokens(F.col("letters"), costs).alias("text"))
+    return lettered.join(cut, "letters", "left").select("source", "id", "text")
 
 
 @query("uri_words", f"{_URIS} select source, id, {sp.words(sp.cleaned('uri'))} as text from uris")

@@ -130,3 +130,19 @@ def test_filters_stay_above_once(spark):
     parsed = once(spark.range(10), "m", F.from_json(F.col("id").cast("string"), "map<string,string>"))
     plan = parsed.where("m is null")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_addresses_with_the_same_letters_are_cut_once(spark, tmp_path):
+    from checks.texts import _uri_least_cost
+
+    urls = [(1, "http://shop/item1"), (1, "http://shop/item1"), (2, "http://shop/item22"), (3, None), (4, "12"), (5, "http://shop")]
+    spark.createDataFrame(urls, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.sql("select 1L as event_id, timestamp '2024-01-01 00:00:00' as ts, 1L as user_id").where("event_id < 0").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    cut = _uri_least_cost(spark, str(tmp_path))
+    assert "Aggregate [letters" in cut._jdf.queryExecution().optimizedPlan().toString()
+    found = sorted(((row["id"], row["text"]) for row in cut.collect()), key=str)
+    assert found == [
+        (1, "http|shop|item"), (1, "http|shop|item"), (2, "http|shop|item"), (3, None), (4, ""), (5, "http|shop"),
+    ]

@@ -22,7 +22,7 @@ from flowvigil.sources.patterns import VENDOR_PATTERNS
 from flowvigil.sources.sinks import DESTINATION, Target
 from flowvigil.sources.tables import spread
 from flowvigil.streaming.network import start_network_etl
-from flowvigil.streaming.run import StreamOptions
+from flowvigil.streaming.run import StreamOptions, state_partitions
 from flowvigil.streaming.scoring import (
     start_netflow_scoring,
     start_uri_scoring,
@@ -44,6 +44,11 @@ def _on_all_cores(source: DataFrame) -> DataFrame:
     return spread(source, source.sparkSession.sparkContext.defaultParallelism)
 
 
+def _state(spark: SparkSession) -> int:
+    """Partitions of a stream's state: a few for each core."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def _options(spark: SparkSession, **changes) -> StreamOptions:
     return StreamOptions(work_folder(spark, "stream-checkpoint"), interval=None, **changes)
 
@@ -364,8 +369,9 @@ def _stream_netflow_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.unionByName(events).write.parquet(feed)
     source = _on_all_cores(spark.readStream.schema(events.schema).parquet(feed))
     messages = json_messages(netflow_records(fx.netflow_lines(source)))
+    options = _options(spark, state=_state(spark))
     start_netflow_scoring(
-        messages, netflow_model(spark, sf_dir), target, _options(spark), once_within="1 day"
+        messages, netflow_model(spark, sf_dir), target, options, once_within="1 day"
     ).awaitTermination()
     return _written(spark, target).groupBy("attacktype", "proto").agg(
         F.count(F.lit(1)).alias("alerts"),

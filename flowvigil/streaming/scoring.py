@@ -86,7 +86,11 @@ def start_netflow_scoring(
         if letters is not None:
             raise ValueError("give letters to a stream of their own, without once_within")
         timed = parse(messages).withColumn("_seen", F.timestamp_seconds("starttime"))
-        messages = seen_once(timed, ["recordid"], "_seen", once_within).drop("_seen")
+        once = seen_once(timed, ["recordid"], "_seen", once_within).drop("_seen")
+        # Joined with itself, a batch that is laid out by id is not found among the stored tables, and
+        # the state would be gone through twice. Coalescing, if only to as many tasks, drops that layout.
+        tasks = options.state or int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        messages = once.coalesce(tasks)
         parse = _as_they_are
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:

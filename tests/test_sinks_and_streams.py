@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -313,6 +314,46 @@ def test_once_and_letters_exclude_each_other(spark, feed):
         start_netflow_scoring(feed(["{}"]), None, None, options(spark), letters=Target(), once_within="1 hour")
 
 
+def test_records_are_looked_up_once_a_batch(spark, feed):
+    from pyspark.sql import functions as F
+
+    from flowvigil.operators.netflow_messages import parse_json_messages
+    from flowvigil.streaming.scoring import start_netflow_scoring
+
+    class Model:
+        def transform(self, features):
+            return features.withColumn("predictedLabel", F.lit("DOS"))
+
+    text = '{{"srcip":"s","dstip":"d","proto":"tcp","recordtime":0,"recordid":"{0}","starttime":{0},"srcport":"1"}}'
+    batches = [[text.format(n) for n in (1, 2, 2, 3)], [text.format(n) for n in (3, 4)]]
+    target = Target("parquet", work_folder(spark, "alerts"))
+    running = start_netflow_scoring(
+        feed(*batches), Model(), target, options(spark), parse_json_messages, once_within="1 hour"
+    )
+    running.awaitTermination()
+    found = spark.read.parquet(target.location)
+    assert sorted((r.recordid, r.flownuma) for r in found.collect()) == [
+        ("ignore1", 3), ("ignore2", 3), ("ignore3", 3), ("ignore4", 1)
+    ]
+    # Alerts join the records with their own conversations: both read what is stored.
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in running.recentProgress) == 4
+
+
+def state_folders(checkpoint):
+    return sum(one.name.isdigit() for one in Path(checkpoint.removeprefix("file:")).joinpath("state", "0").iterdir())
+
+
+def test_partitions_of_the_state(spark, feed):
+    from flowvigil.streaming.scoring import seen_once
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    kept, target = options(spark, state=3), Target("parquet", work_folder(spark, "seen"))
+    timed = feed(["a", "b", "a"]).selectExpr("value", "timestamp_seconds(9000) as at")
+    kept.start(seen_once(timed, ["value"], "at", "1 hour"), target.write_batch).awaitTermination()
+    assert (state_folders(kept.checkpoint), spark.conf.get("spark.sql.shuffle.partitions")) == (3, before)
+    assert spark.read.parquet(target.location).count() == 2
+
+
 def test_variants(spark):
     from flowvigil.sources.variants import document_keys, document_schema, variant_columns, variant_documents, variant_path
 

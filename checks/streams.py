@@ -233,14 +233,15 @@ def _stream_netflow_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = records.withColumn("event_time", F.timestamp_seconds("starttime"))
     windows = windowed_features(timed, "event_time", WIDTH, DELAY)
     target = work_folder(spark, "windows")
-    (
+    writer = (
         windows.writeStream.outputMode("append")
         .format("parquet")
         .option("checkpointLocation", work_folder(spark, "stream-checkpoint"))
         .trigger(availableNow=True)
-        .start(target)
-        .awaitTermination()
     )
+    with state_partitions(spark, _state(spark)):
+        running = writer.start(target)
+    running.awaitTermination()
     bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
     written = spark.read.parquet(target)
     return written.select(*bounds, *[c for c in written.columns if not c.startswith("window_")])
@@ -260,9 +261,9 @@ group by day, srcip, dstip, proto
 )
 def _stream_window_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = json_messages(netflow_records(fx.netflow_lines(event_stream(spark, sf_dir))))
-    target = _target(spark, "window-alerts")
+    target, options = _target(spark, "window-alerts"), _options(spark, state=_state(spark))
     start_window_scoring(
-        messages, netflow_model(spark, sf_dir), target, _options(spark), WIDTH, DELAY
+        messages, netflow_model(spark, sf_dir), target, options, WIDTH, DELAY
     ).awaitTermination()
     return _written(spark, target).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -308,15 +309,16 @@ def _stream_netflow_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = _on_all_cores(spark.readStream.schema(half.schema).parquet(feed))
         records = netflow_records(fx.netflow_lines(source))
         timed = records.withColumn("event_time", F.timestamp_seconds("starttime"))
-        (
-            session_features(timed, "event_time", f"{PAUSE} seconds", f"{LATE} seconds")
-            .writeStream.outputMode("append")
+        sessions = session_features(timed, "event_time", f"{PAUSE} seconds", f"{LATE} seconds")
+        writer = (
+            sessions.writeStream.outputMode("append")
             .format("parquet")
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
-            .start(target)
-            .awaitTermination()
         )
+        with state_partitions(spark, _state(spark)):
+            running = writer.start(target)
+        running.awaitTermination()
     written = spark.read.parquet(target)
     bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
     return written.select(*bounds, *[c for c in written.columns if not c.startswith("window_")])
@@ -340,7 +342,7 @@ def _stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half of the events comes twice in one batch, and once more with the others."""
     first, second = _halves(spark, sf_dir)
     feed, target = work_folder(spark, "event-feed"), _target(spark, "alerts-once")
-    options = _options(spark)
+    options = _options(spark, state=_state(spark))
     for part in (first.unionByName(first), first.unionByName(second)):
         messages = _flow_feed(spark, feed, part)
         start_uri_scoring(

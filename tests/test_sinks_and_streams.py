@@ -354,6 +354,22 @@ def test_partitions_of_the_state(spark, feed):
     assert spark.read.parquet(target.location).count() == 2
 
 
+def test_sessions_keep_their_state_in_a_few_partitions_a_core(spark, tmp_path, monkeypatch):
+    from checks import registry, streams
+
+    folders = {}
+
+    def named(session, purpose):
+        return folders.setdefault(purpose, work_folder(session, purpose))
+
+    monkeypatch.setattr(streams, "work_folder", named)
+    spark.range(40).selectExpr(
+        "id as event_id", "cast(timestamp_seconds(1704067200 + id * 7200) as timestamp_ntz) as ts", "id % 2 as user_id"
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    registry.QUERIES["stream_netflow_sessions"](spark, str(tmp_path)).collect()
+    assert state_folders(folders["stream-checkpoint"]) == 2 * spark.sparkContext.defaultParallelism
+
+
 def test_variants(spark):
     from flowvigil.sources.variants import document_keys, document_schema, variant_columns, variant_documents, variant_path
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks import sql_parts as sp
-from checks.models import SQL_LABEL, netflow_model, union_model_path, uri_model, uri_model_path
+from checks.models import SQL_LABEL, netflow_model, scoring_model, scoring_model_path, union_model_path
 from checks.registry import query
 from checks.texts import SYSLOG_ROWS
 from flowvigil.operators.features import netflow_features
@@ -192,7 +192,7 @@ def _stream_uri_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.http_lines(event_stream(spark, sf_dir)).where(is_http(F.col("value")))
     target = _target(spark, "uri-alerts")
     start_uri_scoring(
-        flow_messages(http_flows(lines)), uri_model(spark, sf_dir), target, _options(spark)
+        flow_messages(http_flows(lines)), scoring_model(spark, sf_dir), target, _options(spark)
     ).awaitTermination()
     return _written(spark, target).select(
         "id",
@@ -346,7 +346,7 @@ def _stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (first.unionByName(first), first.unionByName(second)):
         messages = _flow_feed(spark, feed, part)
         start_uri_scoring(
-            messages, uri_model(spark, sf_dir), target, options, once_within="31 days"
+            messages, scoring_model(spark, sf_dir), target, options, once_within="31 days"
         ).awaitTermination()
     return _written(spark, target).groupBy("srcip", "dstip", "uri").agg(
         F.count(F.lit(1)).alias("alerts"), F.count_distinct("id").alias("ids")
@@ -397,7 +397,7 @@ def _stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions, feed = work_folder(spark, "model-versions"), work_folder(spark, "event-feed")
     target, options = _target(spark, "version-alerts"), _options(spark)
     models = ModelFeed(lambda: spark.read.parquet(versions))
-    paths = (uri_model_path(spark, sf_dir), union_model_path(spark, sf_dir))
+    paths = (scoring_model_path(spark, sf_dir), union_model_path(spark, sf_dir))
     for version, (half, path) in enumerate(zip(_halves(spark, sf_dir), paths, strict=True), 1):
         row = spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("location"))
         row.write.mode("append").parquet(versions)

@@ -195,3 +195,18 @@ def test_models_and_messages_run_once_for_the_alerts(spark):
     filters = [line for line in alerts._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in line]
     assert any("_hit" in line for line in filters) and not any("sql" in line for line in filters)
     assert alerts.count() == 1
+
+
+def test_the_uri_model_is_of_production_size(spark, monkeypatch):
+    from dataclasses import replace
+
+    from checks import models
+
+    given = []
+    monkeypatch.setattr(models, "_uri_texts", lambda *_: "texts")
+    monkeypatch.setattr(models, "train_text_model", lambda rows, settings: given.append((rows, settings)))
+    monkeypatch.setattr(models, "save_model", lambda *_: None)
+    models.uri_model_path.__wrapped__(spark, "folder")
+    (rows, settings), = given
+    assert rows == "texts" and settings.embedding_partitions >= spark.sparkContext.defaultParallelism
+    assert replace(settings, embedding_partitions=64) == TextModelSettings()

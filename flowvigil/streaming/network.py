@@ -14,11 +14,15 @@ from flowvigil.operators.deadletter import parse_network
 from flowvigil.operators.rule_versions import RuleFeed
 from flowvigil.operators.rules import resolve_rules
 from flowvigil.plans.network import tables_of
+from flowvigil.session import written
 from flowvigil.sources.sinks import Target
-from flowvigil.streaming.run import StreamOptions, stored, write_outputs
+from flowvigil.streaming.run import StreamOptions, write_outputs
 
 log = logging.getLogger(__name__)
 
+#: Outputs that read a table: it is written if several of them are wanted.
+READERS = {"flows": {"documents", "flow_messages"}, "records": {"documents", "netflow_messages"}}
+
 
 def start_network_etl(
     lines: DataFrame,
@@ -36,12 +40,15 @@ def start_network_etl(
     fixed = resolve_rules(rules) if feed is None else []
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        if not targets:
+            return
         seen = Observation(f"network-{batch_id}")
         counted = batch.observe(seen, F.count(F.lit(1)).alias("lines"))
-        with stored(parse_network(counted)) as (kept,):
+        with written("parsed", parse_network(counted)) as (kept,):
             tables = tables_of(kept, fixed if feed is None else feed(), strict=strict)
-            with stored(tables.flows, tables.records) as (flows, records):
-                tables = replace(tables, flows=flows, records=records)
+            shared = [name for name, readers in READERS.items() if readers <= set(targets)]
+            with written("network", *[getattr(tables, name) for name in shared]) as found:
+                tables = replace(tables, **dict(zip(shared, found, strict=True)))
                 outputs = {
                     "documents": tables.documents(),
                     "flow_messages": tables.flow_messages(),
@@ -49,7 +56,6 @@ def start_network_etl(
                     "letters": tables.letters,
                 }
                 write_outputs(outputs, targets, batch_id)
-                if targets:
-                    log.info("batch %d: %s lines", batch_id, seen.get["lines"])
+                log.info("batch %d: %s lines", batch_id, seen.get["lines"])
 
     return options.start(lines, each_batch)

@@ -406,3 +406,36 @@ def test_a_stream_of_one_file_is_dealt_to_all_cores(spark, tmp_path):
     ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
     plan = streams.event_stream(spark, str(tmp_path))._jdf.queryExecution().logical().toString()
     assert f"Repartition {spark.sparkContext.defaultParallelism}, true" in plan
+
+
+def test_tables_of_a_batch_are_written_until_it_ends(spark, feed, monkeypatch):
+    """The outputs of a batch read files, no cache, and the files go with the batch."""
+    import glob
+
+    from flowvigil.session import written
+    from flowvigil.streaming import network
+
+    seen = []
+    real = network.write_outputs
+
+    def watched(outputs, targets, batch_id):
+        seen.extend((name, outputs[name]._jdf.queryExecution().executedPlan().toString(), outputs[name].inputFiles()) for name in targets)
+        real(outputs, targets, batch_id)
+
+    monkeypatch.setattr(network, "write_outputs", watched)
+    rules = rows(spark, [], "rule_pos int, ruleid string, sourceip string, destip string, rule_regular_expression string")
+    names = ("documents", "flow_messages", "netflow_messages", "letters")
+    for wanted in (names, names[1:2], ()):
+        targets = {name: Target("parquet", work_folder(spark, name)) for name in wanted}
+        lines = feed(['netlog_http {"Uri":"/a"}', 'send a message: [[{"SrcIp":"1"}]]', "netlog_http {x}"])
+        start_network_etl(lines, rules, targets, options(spark)).awaitTermination()
+        assert all(spark.read.parquet(t.location).count() == (2 if name == "documents" else 1) for name, t in targets.items())
+    assert [name for name, *_ in seen] == [*names, names[1]]
+    assert all("FileScan parquet" in plan and "InMemoryTableScan" not in plan for _, plan, _ in seen)
+    files = [file.removeprefix("file:") for *_, found in seen for file in found]
+    assert files and not any(glob.glob(file.replace("//", "/")) for file in files)
+    with pytest.raises(ValueError, match="on purpose"), written("gone", spark.range(3), spark.range(2)) as (three, two):
+        assert (three.count(), two.count()) == (3, 2)
+        files = three.inputFiles() + two.inputFiles()
+        raise ValueError("on purpose")
+    assert files and not any(glob.glob(file.removeprefix("file:").replace("//", "/")) for file in files)

@@ -210,3 +210,38 @@ def test_the_uri_model_is_of_production_size(spark, monkeypatch):
     (rows, settings), = given
     assert rows == "texts" and settings.embedding_partitions >= spark.sparkContext.defaultParallelism
     assert replace(settings, embedding_partitions=64) == TextModelSettings()
+
+
+def test_the_words_of_all_texts_are_not_cached(spark, monkeypatch):
+    """The embedding reads them from files, which are gone when the model is there."""
+    from flowvigil.plans import uri_model as plans
+
+    seen = []
+    real, pipeline = plans._embedding, plans.text_classifier
+
+    def classifier(*args, **kwargs):
+        plans._embedding = real
+        try:
+            return pipeline(*args, **kwargs)
+        finally:
+            plans._embedding = Watched
+
+    class Watched:
+        def __init__(self, settings):
+            self.real = real(settings)
+
+        def fit(self, words):
+            seen.append((words._jdf.queryExecution().executedPlan().toString(), words.inputFiles()))
+            return self.real.fit(words)
+
+    monkeypatch.setattr(plans, "_embedding", Watched)
+    monkeypatch.setattr(plans, "text_classifier", classifier)
+    given = spark.createDataFrame([("a", "x y z"), ("b", "p q r")] * 20, "label string, uri string")
+    settings = TextModelSettings(vector_size=3, embedding_iterations=1, embedding_partitions=2, trees=3)
+    train_text_model(given, settings)
+    train_text_model(counted_rows(given), settings)
+    assert len(seen) == 2
+    for plan, files in seen:
+        assert "FileScan parquet" in plan and "InMemoryTableScan" not in plan
+        assert files and spark.sparkContext._jvm.java.io.File(files[0].removeprefix("file:")).exists() is False
+
